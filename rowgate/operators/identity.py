@@ -16,7 +16,7 @@ PENDING_ACTIONS = "resolve_required_actions"
 def roles_union(df: DataFrame, claims: str, client: str | None = None, *, out: str = "roles") -> DataFrame:
     """Add the caller's roles: of the realm and, if ``client`` is given, of that client; sorted, without repeats."""
     parsed = parse_claims(F.col(claims))
-    roles = all_roles(parsed, client) if client is not None else F.array_sort(F.array_distinct(realm_roles(parsed)))
+    roles = all_roles(parsed, client) if client is not None else F.sort_array(F.array_distinct(realm_roles(parsed)))
     return df.withColumn(out, roles)
 
 

@@ -20,6 +20,7 @@ from rowgate.functions.gates import (
 from rowgate.operators.keys import first_claims, winning_claims
 from rowgate.operators.links import insert_with_lookup_value
 from rowgate.operators.lookups import may_touch, owned_by_other
+from rowgate.storage import cut
 
 
 def update_profile(
@@ -87,6 +88,7 @@ def update_profile(
         F.when(decided, F.col("status")).otherwise(late_status).alias("status"),
         F.when(decided, F.col("reason")).otherwise(late_reason).alias("reason"),
     )
+    rows = cut(rows)
     claims = rows.where(F.col("status").isNull() & F.col("_renames"))
     first = first_claims(claims, ["new_name", *[f"_in_{c}" for c in within]], seq).select(seq)
     rows = rows.join(first.withColumn("_first", F.lit(True)), seq, "left")

@@ -166,7 +166,7 @@ def q_decode_bodies(spark: SparkSession, sf: str) -> DataFrame:
         "price",
         "restaurant_id",
         col("has_dish_name").cast("int").alias("sent_name"),
-        F.array_join(F.array_sort("errors"), ";").alias("errors"),
+        F.array_join(F.sort_array("errors"), ";").alias("errors"),
     )
 
 

@@ -15,14 +15,11 @@ _CONF = "spark.checkpoint.dir"
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of this session, set up for checkpoints."""
-    context = spark.sparkContext
+    """The shared folder of this session."""
     root = spark.conf.get(_CONF, None)
     if not root:
         root = tempfile.mkdtemp(prefix="rowgate-")
         spark.conf.set(_CONF, root)
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(root)
     return root
 
 
@@ -32,6 +29,12 @@ def fresh_dir(spark: SparkSession, name: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Run ``df`` once and keep its rows in reliable storage, for results that several outputs read."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+    """Run ``df`` once, write its rows to the shared folder and read them back.
+
+    Meant for narrow intermediate rows that several results read. The written table survives lost executors and gives
+    Spark true sizes. It also drops the partitioning of the joins before it: otherwise an aggregation over a wider key
+    would reuse the join's partitions, with a hot join key and all its rows in one task.
+    """
+    path = fresh_dir(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
