@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # The outcome codes of the request rules.
 OK = 200
@@ -26,7 +26,7 @@ class Gate:
 
     fails: Column
     status: int
-    reason: str
+    reason: str | Column
 
 
 def first_failure(gates: Sequence[Gate], status: str = "status", reason: str = "reason") -> list[Column]:
@@ -40,6 +40,24 @@ def first_failure(gates: Sequence[Gate], status: str = "status", reason: str = "
     ]
 
 
+def then(rows: DataFrame, keep: Sequence[str | Column], gates: Sequence[Gate]) -> DataFrame:
+    """Apply further gates to rows whose ``status`` is still null."""
+    late_status, late_reason = first_failure(gates, "_s", "_r")
+    decided = F.col("status").isNotNull()
+    return rows.select(
+        *keep,
+        F.when(decided, F.col("status")).otherwise(late_status).alias("status"),
+        F.when(decided, F.col("reason")).otherwise(late_reason).alias("reason"),
+    )
+
+
+def finish(rows: DataFrame, keep: Sequence[str | Column], status: int, reason: str) -> DataFrame:
+    """Rows that no gate stopped get the final status."""
+    return rows.select(
+        *keep, F.coalesce("status", F.lit(status)).alias("status"), F.coalesce("reason", F.lit(reason)).alias("reason")
+    )
+
+
 def all_present(columns: Sequence[str]) -> Column:
     """True where none of the columns is null."""
     result = F.col(columns[0]).isNotNull()

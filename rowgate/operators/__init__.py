@@ -9,7 +9,8 @@ from rowgate.operators.deletes import (
     delete_detach,
     delete_outcome,
     delete_restrict,
-    resolve_delete,
+    delete_rows,
+    restricted_roots,
 )
 from rowgate.operators.identity import (
     claims_filter,
@@ -55,6 +56,7 @@ __all__ = [
     "delete_detach",
     "delete_outcome",
     "delete_restrict",
+    "delete_rows",
     "duplicate_keys",
     "fill_defaults",
     "fk_check",
@@ -72,7 +74,7 @@ __all__ = [
     "patch_outcome",
     "register_users",
     "require_role",
-    "resolve_delete",
+    "restricted_roots",
     "roles_union",
     "taken_by_other",
     "touched_rows",

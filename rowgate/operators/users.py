@@ -15,7 +15,9 @@ from rowgate.functions.gates import (
     OK,
     SERVER_ERROR,
     Gate,
+    finish,
     first_failure,
+    then,
 )
 from rowgate.operators.keys import first_claims, winning_claims
 from rowgate.operators.links import insert_with_lookup_value
@@ -40,7 +42,7 @@ def update_profile(
     scope: str | None = None,
     gates: Sequence[Gate] = (),
 ) -> DataFrame:
-    """(seq, status, reason, and the accepted ``new_name``) of each profile update.
+    """(seq, target, new_name, status, reason) of each profile update.
 
     Order: ``gates``, no caller (401), no such user (404), neither owner nor admin (403), another role than the
     present one (403), name owned by someone else or claimed by an earlier request (400), accepted (200). A null
@@ -77,28 +79,16 @@ def update_profile(
         Gate(F.col("_role") != F.col("_old_role"), FORBIDDEN, "role may not change"),
         Gate(F.col("_taken"), EMPTY, "name in use"),
     ]
-    late_status, late_reason = first_failure(checks, "_s", "_r")
-    decided = F.col("status").isNotNull()
     renames = F.col("_name").isNotNull() & ~F.col("_name").eqNullSafe(F.col("_old_name"))
-    rows = rows.select(
-        seq,
-        F.col("_name").alias("new_name"),
-        *[f"_in_{c}" for c in within],
-        renames.alias("_renames"),
-        F.when(decided, F.col("status")).otherwise(late_status).alias("status"),
-        F.when(decided, F.col("reason")).otherwise(late_reason).alias("reason"),
-    )
-    rows = cut(rows)
+    scoped = [f"_in_{c}" for c in within]
+    keep = [seq, "_target", F.col("_name").alias("new_name"), *scoped, renames.alias("_renames")]
+    rows = cut(then(rows, keep, checks))
     claims = rows.where(F.col("status").isNull() & F.col("_renames"))
-    first = first_claims(claims, ["new_name", *[f"_in_{c}" for c in within]], seq).select(seq)
+    first = first_claims(claims, ["new_name", *scoped], seq).select(seq)
     rows = rows.join(first.withColumn("_first", F.lit(True)), seq, "left")
-    late = F.col("status").isNull() & F.col("_renames") & F.col("_first").isNull()
-    return rows.select(
-        seq,
-        "new_name",
-        F.when(late, F.lit(EMPTY)).otherwise(F.coalesce("status", F.lit(OK))).alias("status"),
-        F.when(late, F.lit("name in use")).otherwise(F.coalesce("reason", F.lit("updated"))).alias("reason"),
-    )
+    late = Gate(F.col("_renames") & F.col("_first").isNull(), EMPTY, "name in use")
+    outs = [seq, F.col("_target").alias("target"), "new_name"]
+    return finish(then(rows, [seq, "_target", "new_name"], [late]), outs, OK, "updated")
 
 
 def register_users(
@@ -113,9 +103,8 @@ def register_users(
     role_id: str,
     role_value: str,
     gates: Sequence[Gate] = (),
-    user_columns: Sequence[str] | None = None,
 ) -> DataFrame:
-    """(seq, status, reason, user_name, role_id) of each registration.
+    """(seq, user_name, role_id, status, reason) of each registration.
 
     Order: ``gates`` (row rules), name already known or claimed by an earlier request (400), role missing from the
     roles table (500), created (201) with the id of role ``role_value``.
@@ -126,18 +115,9 @@ def register_users(
     winners = winning_claims(live, ["user_name"], seq, users, [user_name]).withColumn("_won", F.lit(True))
     rows = rows.join(winners, seq, "left")
     rows = insert_with_lookup_value(rows, "role_id", roles, F.col(role_name) == role_value, role_id)
-    late_status, late_reason = first_failure(
-        [
-            Gate(F.col("_won").isNull(), EMPTY, "name in use"),
-            Gate(F.col("role_id").isNull(), SERVER_ERROR, "role missing"),
-        ],
-        "_s",
-        "_r",
-    )
-    return rows.select(
-        seq,
-        F.coalesce("status", late_status, F.lit(CREATED)).alias("status"),
-        F.coalesce("reason", late_reason, F.lit("created")).alias("reason"),
-        "user_name",
-        "role_id",
-    )
+    checks = [
+        Gate(F.col("_won").isNull(), EMPTY, "name in use"),
+        Gate(F.col("role_id").isNull(), SERVER_ERROR, "role missing"),
+    ]
+    keep = [seq, "user_name", "role_id"]
+    return finish(then(rows, keep, checks), keep, CREATED, "created")

@@ -109,6 +109,10 @@ def _floor(value: Column, kind: str) -> Column:
     return F.floor(value).cast(kind)
 
 
+def _text(*parts: Column | str) -> Column:
+    return F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+
+
 def _customer_name(number: Column) -> Column:
     return F.concat(F.lit("Customer#"), F.lpad(number.cast("string"), 9, "0"))
 
@@ -144,17 +148,16 @@ def q_decode_bodies(spark: SparkSession, sf: str) -> DataFrame:
             Field("restaurant_id", "int", gt=0),
         ),
     )
-    price = F.when(col("event_type") == "view", F.format_string('"price":"%s",', col("value").cast("string"))).otherwise(
-        F.format_string('"price":%s,', col("value").cast("string"))
-    )
+    value, user = col("value").cast("string"), col("user_id").cast("string")
+    price = F.when(col("event_type") == "view", _text('"price":"', value, '",')).otherwise(_text('"price":', value, ","))
     dish = (
         F.when(col("value") < 10, F.lit('"dish_name":null'))
         .when(col("value") < 20, F.lit('"dish_name":7'))
         .when(col("value") < 30, F.lit('"other":1'))
-        .otherwise(F.format_string('"dish_name":"%s"', col("event_type")))
+        .otherwise(_text('"dish_name":"', col("event_type"), '"'))
     )
-    shop = F.when(col("event_type") == "click", F.format_string('"restaurant_id":%s.5,', col("user_id"))).otherwise(
-        F.format_string('"restaurant_id":"%s",', col("user_id"))
+    shop = F.when(col("event_type") == "click", _text('"restaurant_id":', user, ".5,")).otherwise(
+        _text('"restaurant_id":"', user, '",')
     )
     requests = _table(spark, sf, "events").select(
         col("event_id").alias("req_id"), F.concat(F.lit("{"), price, shop, dish, F.lit("}")).alias("body")
@@ -532,8 +535,8 @@ def _claims(events: DataFrame) -> DataFrame:
     granted = F.when(col("value") > 10, F.lit("admin")).otherwise(F.lit("view"))
     return events.select(
         col("event_id").alias("req_id"),
-        F.format_string(
-            '{"realm_access":{"roles":["%s"]},"resource_access":{"app":{"roles":["view","%s"]}}}', "event_type", granted
+        _text(
+            '{"realm_access":{"roles":["', col("event_type"), '"]},"resource_access":{"app":{"roles":["view","', granted, '"]}}}'
         ).alias("claims"),
     )
 
@@ -566,13 +569,13 @@ def q_kid_match(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_claims_filter(spark: SparkSession, sf: str) -> DataFrame:
-    aud = F.when(col("value") > 50, F.format_string('["account","%s"]', "event_type")).otherwise(
-        F.format_string('"%s"', "event_type")
+    aud = F.when(col("value") > 50, _text('["account","', col("event_type"), '"]')).otherwise(
+        _text('"', col("event_type"), '"')
     )
     realm = F.when(col("user_id") < 50, F.lit("realm-1")).otherwise(F.lit("realm-2"))
     rows = _table(spark, sf, "events").select(
         col("event_id").alias("req_id"),
-        F.format_string('{"aud":%s,"iss":"%s","exp":%s}', aud, realm, "event_id").alias("claims"),
+        _text('{"aud":', aud, ',"iss":"', realm, '","exp":', col("event_id").cast("string"), "}").alias("claims"),
     )
     return claims_filter(rows, "claims", "click", "realm-1", 50).select("req_id")
 
