@@ -45,8 +45,8 @@ def _current(spark: SparkSession, base: DataFrame, root: str, schema: T.StructTy
     return base.unionByName(added.drop("batch"))
 
 
-def stream_apply(stream: DataFrame, base: DataFrame, root: str, rules: InsertRules) -> DataStreamWriter:
-    """Apply each micro-batch of inserts to the table as the batches before it left it.
+def apply_batch(base: DataFrame, root: str, rules: InsertRules) -> Callable[[DataFrame, int], None]:
+    """The handler of one micro-batch, to be called with the batch and its number.
 
     Outcomes go to ``root/outcomes/batch=N`` and accepted rows to ``root/rows/batch=N``. Both are overwritten as a
     whole and a batch reads only lower numbers, so a batch that is replayed after a failure gives the same state.
@@ -61,6 +61,12 @@ def stream_apply(stream: DataFrame, base: DataFrame, root: str, rules: InsertRul
         rows = rules.rows(batch.join(accepted, rules.seq, "left_semi"))
         rows.write.mode("overwrite").parquet(f"{root}/rows/batch={batch_id}")
 
+    return handle
+
+
+def stream_apply(stream: DataFrame, base: DataFrame, root: str, rules: InsertRules) -> DataStreamWriter:
+    """Apply each micro-batch of inserts to the table as the batches before it left it; see ``apply_batch``."""
+    handle = apply_batch(base, root, rules)
     return stream.writeStream.foreachBatch(handle).option("checkpointLocation", f"{root}/progress")
 
 

@@ -87,7 +87,8 @@ def test_create_gate_order_and_first_wins_among_survivors(spark, tables):
         (2.675, 201, Decimal("2.68")),
         (100000000, 422, None),
         ("7.5", 201, Decimal("7.50")),
-        (True, 422, None),
+        (True, 201, Decimal("1.00")),
+        (False, 422, None),
         ([1], 422, None),
         (0, 422, None),
         (None, 422, None),
