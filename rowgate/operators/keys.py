@@ -87,10 +87,10 @@ def assign_ids(rows: DataFrame, table: DataFrame, key: str, seq: str, *, out: st
     )
     counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-
     top = F.coalesce(table.agg(F.max(F.col(key).cast("bigint"))).scalar(), F.lit(0))
-    fresh = top + F.col("_before") + F.col("_row") + 1
+    offsets = counts.select("_part", (top + F.coalesce(F.sum("_n").over(before), F.lit(0))).alias("_before"))
+
+    fresh = F.col("_before") + F.col("_row") + 1
     checked = F.when(fresh > limit, F.raise_error(F.lit(f"{out} exceeds {limit}"))).otherwise(fresh)
     ids = placed.join(F.broadcast(offsets), "_part").select(seq, checked.cast(kind).alias(out))
     return rows.join(ids, seq)

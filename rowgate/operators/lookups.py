@@ -69,7 +69,7 @@ def touched_rows(table: DataFrame, requests: DataFrame, on: tuple[str, str]) ->
     filtered where it is read and need not be shuffled by a later left join.
     """
     left_key, key = on
-    return table.join(requests.select(F.col(left_key).alias(key)), key, "left_semi")
+    return table.join(requests.select(F.col(left_key).alias(key)).distinct(), key, "left_semi")
 
 
 def taken_by_other(df: DataFrame, cols: Sequence[str], pk: str) -> DataFrame:

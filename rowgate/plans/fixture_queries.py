@@ -629,7 +629,7 @@ def q_stream_apply(spark: SparkSession, sf: str) -> DataFrame:
     rules = InsertRules(
         seq="req_id",
         outcome=lambda batch, table: _booking_outcome(spark, sf, batch, table),
-        rows=lambda batch: batch.select("client_id", "table_id"),
+        rows=lambda accepted, table: accepted.select("client_id", "table_id"),
         schema=table_schema,
     )
     for number in range(3):

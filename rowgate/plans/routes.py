@@ -35,6 +35,7 @@ from rowgate.plans.booking import (
 from rowgate.sources.requests import decode_bodies
 from rowgate.sources.tables import project_response
 from rowgate.storage import cut
+from rowgate.streaming.streams import InsertRules
 
 SEQ = "seq"
 
@@ -133,19 +134,33 @@ def get_me(requests: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def create(requests: DataFrame, name: str, tables: Mapping[str, DataFrame]) -> Change:
     """Inserts: 401, 422, 403, missing parent 404, unique key 409, else 201 with a fresh id."""
+    rows = decode_bodies(requests, CONTRACTS[name])
+    return _insert(rows, cut(_judge(rows, name, tables)), name, tables)
+
+
+def _judge(rows: DataFrame, name: str, tables: Mapping[str, DataFrame]) -> DataFrame:
     contract = CONTRACTS[name]
-    rows = decode_bodies(requests, contract)
-    outcomes = cut(
-        apply_inserts(
-            rows,
-            SEQ,
-            gates=[_no_login(), _bad_body(), *_role(name)],
-            parents=_parents(contract, tables),
-            unique=contract.unique,
-            table=tables[name],
-        )
+    return apply_inserts(
+        rows,
+        SEQ,
+        gates=[_no_login(), _bad_body(), *_role(name)],
+        parents=_parents(contract, tables),
+        unique=contract.unique,
+        table=tables[name],
     )
-    return _insert(rows, outcomes, name, tables)
+
+
+def create_rules(name: str, tables: Mapping[str, DataFrame]) -> InsertRules:
+    """``create`` as rules for a request stream: each micro-batch sees the table as earlier ones left it."""
+    contract = CONTRACTS[name]
+
+    def outcome(batch: DataFrame, table: DataFrame) -> DataFrame:
+        return _judge(decode_bodies(batch, contract), name, {**tables, name: table})
+
+    def rows(accepted: DataFrame, table: DataFrame) -> DataFrame:
+        return assign_ids(decode_bodies(accepted, contract), table, contract.key, SEQ).select(*contract.columns)
+
+    return InsertRules(SEQ, outcome, rows, contract.schema)
 
 
 def _insert(rows: DataFrame, outcomes: DataFrame, name: str, tables: Mapping[str, DataFrame]) -> Change:

@@ -25,13 +25,13 @@ def stream_fk_check(stream: DataFrame, parents: Sequence[Parent], seq: str, *, o
 class InsertRules:
     """How a micro-batch is judged and stored.
 
-    ``outcome`` gets (batch, current table) and returns (seq, status, ...); ``rows`` turns accepted requests into
-    table rows; ``schema`` is the schema of those rows.
+    ``outcome`` gets (batch, current table) and returns (seq, status, ...); ``rows`` gets (accepted requests, current
+    table) and returns the new table rows; ``schema`` is the schema of those rows.
     """
 
     seq: str
     outcome: Callable[[DataFrame, DataFrame], DataFrame]
-    rows: Callable[[DataFrame], DataFrame]
+    rows: Callable[[DataFrame, DataFrame], DataFrame]
     schema: T.StructType
     accepted: int = CREATED
 
@@ -58,7 +58,7 @@ def apply_batch(base: DataFrame, root: str, rules: InsertRules) -> Callable[[Dat
         decided = f"{root}/outcomes/batch={batch_id}"
         rules.outcome(batch, table).write.mode("overwrite").parquet(decided)
         accepted = spark.read.parquet(decided).where(F.col("status") == rules.accepted).select(rules.seq)
-        rows = rules.rows(batch.join(accepted, rules.seq, "left_semi"))
+        rows = rules.rows(batch.join(accepted, rules.seq, "left_semi"), table)
         rows.write.mode("overwrite").parquet(f"{root}/rows/batch={batch_id}")
 
     return handle

@@ -1,9 +1,13 @@
 """Streams: replayed batches, and order across batches."""
 
+import json
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowgate.operators import Parent, apply_inserts
+from rowgate.plans import routes
+from rowgate.plans.booking import CONTRACTS
 from rowgate.storage import fresh_dir
 from rowgate.streaming import InsertRules, apply_batch, drain, stream_apply, stream_fk_check
 
@@ -11,7 +15,7 @@ ROWS = T.StructType([T.StructField("k", T.IntegerType())])
 RULES = InsertRules(
     seq="seq",
     outcome=lambda batch, table: apply_inserts(batch, "seq", unique=["k"], table=table),
-    rows=lambda batch: batch.select("k"),
+    rows=lambda accepted, table: accepted.select("k"),
     schema=ROWS,
 )
 
@@ -60,3 +64,19 @@ def test_stream_reference_check_with_salted_parent(spark):
     drain(checked.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/progress"))
     got = spark.read.parquet(f"{root}/out").groupBy("fk").count().collect()
     assert {r.fk: r["count"] for r in got} == {"ok": 701, "parent": 299}
+
+
+def test_stream_of_create_requests(spark):
+    root = fresh_dir(spark, "test-create")
+    rows = {"restaurants": [(1, "uno", 1, 1)], "tables": [(4, 1, 1, 1)]}
+    tables = {n: spark.createDataFrame(r, CONTRACTS[n].schema) for n, r in rows.items()}
+    claims = json.dumps({"sub": "k", "realm_access": {"roles": ["admin"]}})
+    request = "seq bigint, caller_sub string, claims string, target_id int, body string"
+    for lot in ([(1, 1), (2, 2)], [(3, 2), (4, 3), (5, 3)]):
+        data = [(s, "k", claims, None, json.dumps({"table_number": n, "table_status": 1, "restaurant_id": 1})) for s, n in lot]
+        spark.createDataFrame(data, request).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(request).parquet(f"{root}/in")
+        drain(stream_apply(stream, tables["tables"], root, routes.create_rules("tables", tables)))
+    assert outcomes(spark, root) == {1: 409, 2: 201, 3: 409, 4: 201, 5: 409}
+    added = spark.read.parquet(f"{root}/rows").collect()
+    assert sorted((r.table_id, r.table_number) for r in added) == [(5, 2), (6, 3)]
