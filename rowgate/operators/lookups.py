@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rowgate.functions.gates import FORBIDDEN, NOT_FOUND, OK, all_present
 
+# At most this many keys are broadcast: some tens of megabytes for numbers.
+BROADCAST_ROWS = 1_000_000
+
 
 def lookup_by_key(
     requests: DataFrame,
@@ -62,14 +65,23 @@ def lookup_by_alt_key(
     return joined.withColumn("status", status).drop(*[f"_alt{i}" for i in range(len(on))])
 
 
-def touched_rows(table: DataFrame, requests: DataFrame, on: tuple[str, str]) -> DataFrame:
-    """Only the table rows some request names.
+def is_small(requests: DataFrame) -> bool:
+    """Size check for ``touched_rows``: are there few enough requests to broadcast one key column of theirs?"""
+    return requests.count() <= BROADCAST_ROWS
+
+
+def touched_rows(table: DataFrame, requests: DataFrame, on: tuple[str, str], *, small: bool | None = None) -> DataFrame:
+    """The table rows that matter to a batch of requests, for lookups in tables far larger than the batch.
 
-    For a small batch against a huge table: the batch's keys are the side Spark may broadcast, so the table is
-    filtered where it is read and need not be shuffled by a later left join.
+    A batch within the size limit has its keys broadcast, so the table is filtered where it is read and is never
+    shuffled. For a larger batch the table is returned as it is, and the lookup that follows joins it in full.
+    ``small`` passes on a size check that was already made.
     """
     left_key, key = on
-    return table.join(requests.select(F.col(left_key).alias(key)).distinct(), key, "left_semi")
+    if not (is_small(requests) if small is None else small):
+        return table
+    keys = requests.select(F.col(left_key).alias(key)).distinct()
+    return table.join(F.broadcast(keys), key, "left_semi")
 
 
 def taken_by_other(df: DataFrame, cols: Sequence[str], pk: str) -> DataFrame:

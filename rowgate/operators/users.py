@@ -40,6 +40,7 @@ def update_profile(
     role: str,
     owner: str,
     scope: str | None = None,
+    named: DataFrame | None = None,
     gates: Sequence[Gate] = (),
 ) -> DataFrame:
     """(seq, target, new_name, status, reason) of each profile update.
@@ -47,7 +48,8 @@ def update_profile(
     Order: ``gates``, no caller (401), no such user (404), neither owner nor admin (403), another role than the
     present one (403), name owned by someone else or claimed by an earlier request (400), accepted (200). A null
     name or role means 'not sent', and an empty request is accepted. ``scope`` names a column of ``users`` within
-    which names must be unique; by default they are unique in the whole table.
+    which names must be unique; by default they are unique in the whole table. ``users`` may be cut down to the rows
+    the batch targets, if ``named`` gives all users whose name it asks for.
     """
     status, reason = first_failure(gates)
     within = [scope] if scope else []
@@ -70,7 +72,7 @@ def update_profile(
     )
     rows = rows.join(current, F.col("_target") == F.col("_id"), "left")
     rows = owned_by_other(
-        rows, users, [("_name", name), *[(f"_in_{c}", c) for c in within]], own="_id", pk=key, flag="_taken"
+        rows, users if named is None else named, [("_name", name), *[(f"_in_{c}", c) for c in within]], own="_id", pk=key, flag="_taken"
     )
     checks = [
         Gate(F.coalesce(F.col("_caller"), F.lit("")) == "", NO_LOGIN, "no caller"),

@@ -21,7 +21,7 @@ from rowgate.operators.deletes import delete_outcome, delete_rows, restricted_ro
 from rowgate.operators.identity import login_outcome
 from rowgate.operators.keys import assign_ids, insert_if_absent
 from rowgate.operators.links import Parent, insert_with_lookup_value
-from rowgate.operators.lookups import lookup_by_alt_key, lookup_by_key, touched_rows
+from rowgate.operators.lookups import is_small, lookup_by_alt_key, lookup_by_key, touched_rows
 from rowgate.operators.users import register_users, update_profile
 from rowgate.plans.booking import (
     ADMIN_ROLE,
@@ -70,17 +70,14 @@ def _role(name: str) -> list[Gate]:
     return [Gate(~_is_admin(), FORBIDDEN, "admin only")] if name in ADMIN_TABLES else []
 
 
-def _parents(contract: Contract, tables: Mapping[str, DataFrame]) -> list[Parent]:
-    return [
-        Parent(
-            link.column,
-            tables[link.parent],
-            CONTRACTS[link.parent].key,
-            link.parent,
-            null_fails=(contract.name, link.column) in NULL_PARENT_CHECKED,
-        )
-        for link in contract.links
-    ]
+def _parents(contract: Contract, tables: Mapping[str, DataFrame], rows: DataFrame, small: bool) -> list[Parent]:
+    parents = []
+    for link in contract.links:
+        key = CONTRACTS[link.parent].key
+        table = touched_rows(tables[link.parent], rows, (link.column, key), small=small)
+        null_fails = (contract.name, link.column) in NULL_PARENT_CHECKED
+        parents.append(Parent(link.column, table, key, link.parent, null_fails=null_fails))
+    return parents
 
 
 def _outcomes(df: DataFrame) -> DataFrame:
@@ -120,7 +117,8 @@ def get_me(requests: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
     shown = {c: c for c in contract.response_columns}
     no_subject = Gate(F.coalesce(F.col("caller_sub"), F.lit("")) == "", NO_LOGIN, "no subject")
     gated = requests.select(SEQ, "caller_sub", *first_failure([_no_login(), no_subject], "_early", "_why"))
-    found = lookup_by_alt_key(gated, tables["users"], [("caller_sub", "keycloak_id")], contract.key, shown)
+    wanted = touched_rows(tables["users"], gated, ("caller_sub", "keycloak_id"))
+    found = lookup_by_alt_key(gated, wanted, [("caller_sub", "keycloak_id")], contract.key, shown)
     passed = F.col("_early").isNull()
     return found.select(
         SEQ,
@@ -144,7 +142,7 @@ def _judge(rows: DataFrame, name: str, tables: Mapping[str, DataFrame]) -> DataF
         rows,
         SEQ,
         gates=[_no_login(), _bad_body(), *_role(name)],
-        parents=_parents(contract, tables),
+        parents=_parents(contract, tables, rows, is_small(rows)),
         unique=contract.unique,
         table=tables[name],
     )
@@ -175,18 +173,20 @@ def update(requests: DataFrame, name: str, tables: Mapping[str, DataFrame]) -> C
     contract = CONTRACTS[name]
     rows = decode_bodies(requests, contract, partial=True)
     names = [f.name for f in contract.body_fields]
+    small = is_small(requests)
     outcomes = cut(
         patch_outcome(
             rows,
-            tables[name],
+            touched_rows(tables[name], requests, ("target_id", contract.key), small=small),
             contract.key,
             "target_id",
             SEQ,
             {n: (F.col(f"has_{n}"), F.col(n)) for n in names},
             gates=[_no_login(), _bad_target(), _bad_body(), *_role(name)],
-            parents=_parents(contract, tables),
+            parents=_parents(contract, tables, rows, small),
             required=[f.name for f in contract.body_fields if f.required],
             unique=contract.unique,
+            held=tables[name],
         )
     )
     patches = rows.join(outcomes.where(F.col("status") == OK).select(SEQ, "moved"), SEQ)
@@ -208,12 +208,14 @@ def delete(requests: DataFrame, name: str, tables: Mapping[str, DataFrame]) -> C
     if name == "users":
         gates.insert(1, Gate(F.coalesce(F.col("caller_sub"), F.lit("")) == "", NO_LOGIN, "no subject"))
         access = {"owner": "keycloak_id", "caller": "caller_sub", "admin": _is_admin()}
-    asked = touched_rows(tables[name], requests, ("target_id", contract.key))
-    roots = asked.select(F.col(contract.key).alias("root"))
+    small = is_small(requests)
+    asked = touched_rows(tables[name], requests, ("target_id", contract.key), small=small)
+    wanted = requests.select(F.col("target_id").alias(contract.key)).distinct()
+    roots = asked.join(wanted, contract.key, "left_semi").select(F.col(contract.key).alias("root"))
     restricted = restricted_roots(roots, name, tables, CONTRACTS)
     outcomes = cut(
         delete_outcome(
-            requests, tables[name], contract.key, "target_id", SEQ, gates=gates, restricted=restricted, **access
+            requests, asked, contract.key, "target_id", SEQ, gates=gates, restricted=restricted, **access
         )
     )
     gone = outcomes.where(F.col("status") == DELETED).select(F.col("target").alias("root"))
@@ -225,10 +227,11 @@ def update_me(requests: DataFrame, tables: Mapping[str, DataFrame]) -> Change:
     contract = CONTRACTS["users"]
     users = tables["users"]
     rows = decode_bodies(requests, contract, partial=True)
+    small = is_small(requests)
     outcomes = cut(
         update_profile(
             rows,
-            users,
+            touched_rows(users, requests, ("target_id", "user_id"), small=small),
             SEQ,
             caller="caller_sub",
             admin=_is_admin(),
@@ -239,6 +242,7 @@ def update_me(requests: DataFrame, tables: Mapping[str, DataFrame]) -> Change:
             name="user_name",
             role="role_id",
             owner="keycloak_id",
+            named=touched_rows(users, rows, ("user_name", "user_name"), small=small),
             gates=[_no_login(), _bad_target(), _bad_body()],
         )
     )
