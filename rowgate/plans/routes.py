@@ -49,13 +49,24 @@ class Change:
     created: DataFrame | None = None
 
 
-def _no_login() -> Gate:
-    return Gate(F.col("claims").isNull(), NO_LOGIN, "no valid token")
+def _callers(requests: DataFrame) -> DataFrame:
+    """Requests with their claims read: ``logged_in`` and ``is_admin``."""
+    roles = realm_roles(parse_claims(F.col("claims")))
+    return requests.withColumns(
+        {
+            "logged_in": F.col("claims").isNotNull(),
+            "is_admin": F.coalesce(F.array_contains(roles, ADMIN_ROLE), F.lit(False)),
+        }
+    ).drop("claims")
 
 
-def _is_admin() -> Column:
-    roles = realm_roles(parse_claims(F.col("claims")))
-    return F.coalesce(F.array_contains(roles, ADMIN_ROLE), F.lit(False))
+def _decoded(requests: DataFrame, contract: Contract, *, partial: bool = False) -> DataFrame:
+    """Requests with claims and body read once and stored typed, since every later step reads some of the columns."""
+    return cut(decode_bodies(_callers(requests), contract, partial=partial).drop("body"))
+
+
+def _no_login() -> Gate:
+    return Gate(~F.col("logged_in"), NO_LOGIN, "no valid token")
 
 
 def _bad_body() -> Gate:
@@ -67,7 +78,7 @@ def _bad_target() -> Gate:
 
 
 def _role(name: str) -> list[Gate]:
-    return [Gate(~_is_admin(), FORBIDDEN, "admin only")] if name in ADMIN_TABLES else []
+    return [Gate(~F.col("is_admin"), FORBIDDEN, "admin only")] if name in ADMIN_TABLES else []
 
 
 def _parents(contract: Contract, tables: Mapping[str, DataFrame], rows: DataFrame, small: bool) -> list[Parent]:
@@ -100,7 +111,7 @@ def get_rows(requests: DataFrame, name: str, tables: Mapping[str, DataFrame]) ->
     """Each request's row by primary key: 401, 422, 404 or 200 with the response columns."""
     contract = CONTRACTS[name]
     shown = {c: c for c in contract.response_columns}
-    gated = requests.select(SEQ, "target_id", *first_failure([_no_login(), _bad_target()], "_early", "_why"))
+    gated = _callers(requests).select(SEQ, "target_id", *first_failure([_no_login(), _bad_target()], "_early", "_why"))
     wanted = touched_rows(tables[name], gated, ("target_id", contract.key))
     found = lookup_by_key(gated, wanted, ("target_id", contract.key), shown)
     passed = F.col("_early").isNull()
@@ -116,7 +127,7 @@ def get_me(requests: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
     contract = CONTRACTS["users"]
     shown = {c: c for c in contract.response_columns}
     no_subject = Gate(F.coalesce(F.col("caller_sub"), F.lit("")) == "", NO_LOGIN, "no subject")
-    gated = requests.select(SEQ, "caller_sub", *first_failure([_no_login(), no_subject], "_early", "_why"))
+    gated = _callers(requests).select(SEQ, "caller_sub", *first_failure([_no_login(), no_subject], "_early", "_why"))
     wanted = touched_rows(tables["users"], gated, ("caller_sub", "keycloak_id"))
     found = lookup_by_alt_key(gated, wanted, [("caller_sub", "keycloak_id")], contract.key, shown)
     passed = F.col("_early").isNull()
@@ -132,7 +143,7 @@ def get_me(requests: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def create(requests: DataFrame, name: str, tables: Mapping[str, DataFrame]) -> Change:
     """Inserts: 401, 422, 403, missing parent 404, unique key 409, else 201 with a fresh id."""
-    rows = decode_bodies(requests, CONTRACTS[name])
+    rows = _decoded(requests, CONTRACTS[name])
     return _insert(rows, cut(_judge(rows, name, tables)), name, tables)
 
 
@@ -153,7 +164,7 @@ def create_rules(name: str, tables: Mapping[str, DataFrame]) -> InsertRules:
     contract = CONTRACTS[name]
 
     def outcome(batch: DataFrame, table: DataFrame) -> DataFrame:
-        return _judge(decode_bodies(batch, contract), name, {**tables, name: table})
+        return _judge(_decoded(batch, contract), name, {**tables, name: table})
 
     def rows(accepted: DataFrame, table: DataFrame) -> DataFrame:
         return assign_ids(decode_bodies(accepted, contract), table, contract.key, SEQ).select(*contract.columns)
@@ -171,13 +182,13 @@ def _insert(rows: DataFrame, outcomes: DataFrame, name: str, tables: Mapping[str
 def update(requests: DataFrame, name: str, tables: Mapping[str, DataFrame]) -> Change:
     """Partial updates: 401, 422, 403, 404, nothing sent 400, missing parent 404, null or unique key 409, else 200."""
     contract = CONTRACTS[name]
-    rows = decode_bodies(requests, contract, partial=True)
+    rows = _decoded(requests, contract, partial=True)
     names = [f.name for f in contract.body_fields]
-    small = is_small(requests)
+    small = is_small(rows)
     outcomes = cut(
         patch_outcome(
             rows,
-            touched_rows(tables[name], requests, ("target_id", contract.key), small=small),
+            touched_rows(tables[name], rows, ("target_id", contract.key), small=small),
             contract.key,
             "target_id",
             SEQ,
@@ -207,7 +218,7 @@ def delete(requests: DataFrame, name: str, tables: Mapping[str, DataFrame]) -> C
     access: dict = {}
     if name == "users":
         gates.insert(1, Gate(F.coalesce(F.col("caller_sub"), F.lit("")) == "", NO_LOGIN, "no subject"))
-        access = {"owner": "keycloak_id", "caller": "caller_sub", "admin": _is_admin()}
+        access = {"owner": "keycloak_id", "caller": "caller_sub", "admin": F.col("is_admin")}
     small = is_small(requests)
     asked = touched_rows(tables[name], requests, ("target_id", contract.key), small=small)
     wanted = requests.select(F.col("target_id").alias(contract.key)).distinct()
@@ -215,7 +226,7 @@ def delete(requests: DataFrame, name: str, tables: Mapping[str, DataFrame]) -> C
     restricted = restricted_roots(roots, name, tables, CONTRACTS)
     outcomes = cut(
         delete_outcome(
-            requests, asked, contract.key, "target_id", SEQ, gates=gates, restricted=restricted, **access
+            _callers(requests), asked, contract.key, "target_id", SEQ, gates=gates, restricted=restricted, **access
         )
     )
     gone = outcomes.where(F.col("status") == DELETED).select(F.col("target").alias("root"))
@@ -226,15 +237,15 @@ def update_me(requests: DataFrame, tables: Mapping[str, DataFrame]) -> Change:
     """Profile updates of users: 401, 422, 404, 403, name taken 400, else 200."""
     contract = CONTRACTS["users"]
     users = tables["users"]
-    rows = decode_bodies(requests, contract, partial=True)
-    small = is_small(requests)
+    rows = _decoded(requests, contract, partial=True)
+    small = is_small(rows)
     outcomes = cut(
         update_profile(
             rows,
-            touched_rows(users, requests, ("target_id", "user_id"), small=small),
+            touched_rows(users, rows, ("target_id", "user_id"), small=small),
             SEQ,
             caller="caller_sub",
-            admin=_is_admin(),
+            admin=F.col("is_admin"),
             target="target_id",
             new_name=F.col("user_name"),
             new_role=F.col("role_id"),
@@ -258,7 +269,8 @@ def register(requests: DataFrame, tables: Mapping[str, DataFrame], identity: str
 
     Column ``identity`` holds the id the identity server gave the account, null if there is none.
     """
-    rows = decode_bodies(requests, REGISTER)
+    # Only what the account needs is stored; the password is checked and goes no further.
+    rows = cut(decode_bodies(requests, REGISTER).select(SEQ, "username", "errors", identity))
     outcomes = cut(
         register_users(
             rows,

@@ -155,11 +155,16 @@ def test_reservation_times_are_utc(spark, tables, zone):
             (USER, None, booking("2025-03-01T20:00:00")),
             (USER, None, booking(1740852000)),
             (USER, None, booking("soon")),
+            # Clock times that New York skips or repeats.
+            (USER, None, booking("2025-03-09T02:30:00Z")),
+            (USER, None, booking("2025-11-02T01:30:00-05:00")),
+            (USER, None, booking("2025-03-09T02:30:00")),
         )
         change = routes.create(reqs, "reservations", tables)
-        assert statuses(change.outcomes) == [201, 201, 201, 201, 422]
+        assert statuses(change.outcomes) == [201, 201, 201, 201, 422, 201, 201, 201]
         got = rows_of(change.tables["reservations"], "reservation_id")
-        assert [got[i].reservation_date.hour for i in (2, 3, 4, 5)] == [18, 20, 20, 18]
+        times = [got[i].reservation_date.strftime("%d %H:%M") for i in range(2, 9)]
+        assert times == ["01 18:00", "01 20:00", "01 20:00", "01 18:00", "09 02:30", "02 06:30", "09 02:30"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 

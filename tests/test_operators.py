@@ -1,6 +1,7 @@
 """Operators on small random tables against brute force in plain Python, and edge cases the given tables lack."""
 
 import random
+from datetime import datetime
 from decimal import Decimal
 
 import pytest
@@ -41,7 +42,7 @@ from rowgate.operators import (
     validate_rows,
 )
 from rowgate.operators.lookups import owned_by_other
-from rowgate.sources import append_accepted, publish_version, read_version
+from rowgate.sources import append_accepted, publish_version, read_version, scan_typed
 from rowgate.storage import cut, fresh_dir
 
 
@@ -340,6 +341,18 @@ def test_versions_and_appends(spark):
     assert values(spark.read.parquet(out), "seq", "batch") == [(1, 0), (1, 1)]
 
 
+def test_typed_scans_of_other_formats(spark):
+    contract = Contract("t", "id", (Field("p", "decimal(10,2)"), Field("at", "timestamp_ntz")))
+    rows = [(1, Decimal("2.50"), datetime(2025, 3, 1, 20, 0)), (2, None, None)]
+    df = spark.createDataFrame(rows, contract.schema).withColumn("extra", F.lit("x"))
+    for fmt in ("parquet", "json", "orc"):
+        path = fresh_dir(spark, f"test-{fmt}")
+        df.write.format(fmt).save(path)
+        got = scan_typed(spark, path, contract, fmt)
+        assert got.columns == contract.columns
+        assert values(got, "id", "p", "at") == rows
+
+
 def test_cut_keeps_rows_and_types(spark):
     df = spark.createDataFrame([(1, Decimal("1.50"), None)], "a int, b decimal(10,2), c string")
     kept = cut(df)
