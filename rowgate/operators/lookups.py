@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rowgate.functions.gates import FORBIDDEN, NOT_FOUND, OK, all_present
 
-# At most this many keys are broadcast: some tens of megabytes for numbers.
+# At most this many key hashes are broadcast, which is some tens of megabytes.
 BROADCAST_ROWS = 1_000_000
 
 
@@ -71,17 +71,22 @@ def is_small(requests: DataFrame) -> bool:
 
 
 def touched_rows(table: DataFrame, requests: DataFrame, on: tuple[str, str], *, small: bool | None = None) -> DataFrame:
-    """The table rows that matter to a batch of requests, for lookups in tables far larger than the batch.
+    """The table rows that may matter to a batch of requests, for lookups in tables far larger than the batch.
 
-    A batch within the size limit has its keys broadcast, so the table is filtered where it is read and is never
-    shuffled. For a larger batch the table is returned as it is, and the lookup that follows joins it in full.
-    ``small`` passes on a size check that was already made.
+    A batch within the size limit has the hashes of its keys broadcast, eight bytes each however long a key is, so the
+    table is filtered where it is read and is never shuffled. Equal hashes may let a few other rows through, which the
+    exact lookup that follows drops. For a larger batch the table is returned as it is, and the lookup joins it in
+    full. ``small`` passes on a size check that was already made.
     """
     left_key, key = on
     if not (is_small(requests) if small is None else small):
         return table
-    keys = requests.select(F.col(left_key).alias(key)).distinct()
-    return table.join(F.broadcast(keys), key, "left_semi")
+    kind = next(f.dataType for f in table.schema if f.name == key)
+    # Hashes depend on the type; a value the table's type cannot hold becomes null and matches nothing.
+    wanted = F.col(left_key).try_cast(kind)
+    hashes = requests.where(wanted.isNotNull()).select(F.xxhash64(wanted).alias("_hash")).distinct()
+    keyed = table.where(F.col(key).isNotNull())
+    return keyed.join(F.broadcast(hashes), F.xxhash64(key) == F.col("_hash"), "left_semi")
 
 
 def taken_by_other(df: DataFrame, cols: Sequence[str], pk: str) -> DataFrame:

@@ -8,14 +8,15 @@ import pytest
 
 from rowgate.plans import routes
 from rowgate.plans.booking import CONTRACTS
+from rowgate.storage import cut
 
 REQUEST = "seq bigint, caller_sub string, claims string, target_id int, body string"
 ADMIN = json.dumps({"sub": "k1", "realm_access": {"roles": ["admin"]}})
 USER = json.dumps({"sub": "k2", "realm_access": {"roles": ["client"]}})
 
 
-@pytest.fixture
-def tables(spark):
+@pytest.fixture(scope="module")
+def saved_tables(spark):
     rows = {
         "roles": [(1, "admin"), (2, "client")],
         "users": [(1, "root", "k1", 1), (2, "ana", "k2", 2), (3, "bob", None, 2), (4, "cy", None, 2)],
@@ -31,7 +32,12 @@ def tables(spark):
         "order_items": [(1, 1, 1, 2, Decimal("3.50"))],
         "reservations": [(1, 2, 2, datetime(2025, 3, 1, 20, 0), 0)],
     }
-    return {n: spark.createDataFrame(r, CONTRACTS[n].schema) for n, r in rows.items()}
+    return {n: cut(spark.createDataFrame(r, CONTRACTS[n].schema).coalesce(1)) for n, r in rows.items()}
+
+
+@pytest.fixture
+def tables(saved_tables):
+    return dict(saved_tables)
 
 
 def batch(spark, *rows):
@@ -40,7 +46,7 @@ def batch(spark, *rows):
     for i, (claims, target, body) in enumerate(rows, 1):
         sub = json.loads(claims).get("sub") if claims else None
         data.append((i, sub, claims, target, body if body is None or isinstance(body, str) else json.dumps(body)))
-    return spark.createDataFrame(data, REQUEST)
+    return spark.createDataFrame(data, REQUEST).coalesce(1)
 
 
 def statuses(df):

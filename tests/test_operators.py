@@ -180,6 +180,16 @@ def test_lookups(spark, rng):
     )
 
 
+def test_touched_rows_of_any_type_and_size(spark, monkeypatch):
+    table = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "id int, name string")
+    reqs = spark.createDataFrame([(2**40 + 1, "b"), (1, "x" * 5000), (1, None), (None, "zz")], "id long, name string")
+    assert values(touched_rows(table, reqs, ("id", "id")), "id") == [(1,)]
+    assert values(touched_rows(table, reqs, ("name", "name")), "id") == [(2,)]
+    monkeypatch.setattr("rowgate.operators.lookups.BROADCAST_ROWS", 3)
+    assert touched_rows(table, reqs, ("id", "id")).count() == 3
+    assert touched_rows(table, reqs.where("id = 1"), ("id", "id")).count() == 1
+
+
 def test_reference_check_skips_nulls_and_never_multiplies(spark):
     reqs = spark.createDataFrame([(1, None, 1), (2, 9, 9), (3, 1, 9), (4, 1, 1)], "seq int, a int, b int")
     once = spark.createDataFrame([(1,)], "id int")
