@@ -15,11 +15,23 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rowgate.contracts import Contract
 from rowgate.functions.claims import parse_claims, realm_roles
-from rowgate.functions.gates import CREATED, DELETED, FORBIDDEN, INVALID, NO_LOGIN, OK, Gate, finish, first_failure, then
+from rowgate.functions.gates import (
+    CREATED,
+    DELETED,
+    FORBIDDEN,
+    INVALID,
+    NO_LOGIN,
+    OK,
+    SERVER_ERROR,
+    Gate,
+    finish,
+    first_failure,
+    then,
+)
 from rowgate.operators.changes import apply_inserts, apply_patch, patch_outcome
 from rowgate.operators.deletes import delete_outcome, delete_rows, restricted_roots
 from rowgate.operators.identity import login_outcome
-from rowgate.operators.keys import assign_ids, insert_if_absent
+from rowgate.operators.keys import assign_ids, insert_if_absent, unique_conflict
 from rowgate.operators.links import Parent, insert_with_lookup_value
 from rowgate.operators.lookups import is_small, lookup_by_alt_key, lookup_by_key, touched_rows
 from rowgate.operators.users import register_users, update_profile
@@ -265,13 +277,13 @@ def update_me(requests: DataFrame, tables: Mapping[str, DataFrame]) -> Change:
 
 
 def register(requests: DataFrame, tables: Mapping[str, DataFrame], identity: str = "identity_id") -> Change:
-    """New users with the client role: 422, name in use 400, role missing 500, else 201.
+    """New users with the client role: 422, name in use 400, role missing 500, identity already known 500, else 201.
 
     Column ``identity`` holds the id the identity server gave the account, null if there is none.
     """
     # Only what the account needs is stored; the password is checked and goes no further.
     rows = cut(decode_bodies(requests, REGISTER).select(SEQ, "username", "errors", identity))
-    outcomes = cut(
+    judged = cut(
         register_users(
             rows,
             tables["users"],
@@ -285,9 +297,16 @@ def register(requests: DataFrame, tables: Mapping[str, DataFrame], identity: str
             gates=[_bad_body()],
         )
     )
-    accepted = outcomes.where(F.col("status") == CREATED).select(SEQ, "user_name", "role_id")
-    users = accepted.join(rows.select(SEQ, F.col(identity).alias("keycloak_id")), SEQ)
-    return _insert(users, outcomes, "users", tables)
+    accepted = judged.where(F.col("status") == CREATED).select(SEQ, "user_name", "role_id")
+    users = cut(accepted.join(rows.select(SEQ, F.col(identity).alias("keycloak_id")), SEQ))
+    known = unique_conflict(users, ["keycloak_id"], SEQ, tables["users"], conflict=SERVER_ERROR)
+    clash = known.where(F.col("status") == SERVER_ERROR).select(SEQ, F.lit(True).alias("_clash"))
+    outcomes = judged.join(clash, SEQ, "left").select(
+        SEQ,
+        F.when(F.col("_clash"), F.lit(SERVER_ERROR)).otherwise(F.col("status")).alias("status"),
+        F.when(F.col("_clash"), F.lit("identity known")).otherwise(F.col("reason")).alias("reason"),
+    )
+    return _insert(users, cut(outcomes), "users", tables)
 
 
 def login(replies: DataFrame) -> DataFrame:

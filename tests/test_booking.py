@@ -300,15 +300,19 @@ def test_register(spark, tables):
         (5, body("fay", email="a@b"), None),
         (6, body("fay", password="123"), None),
         (7, body("fay"), None),
+        (8, body("gil"), "k1"),
+        (9, body("hal"), "k12"),
+        (10, body("ida"), "k12"),
     ]
     reqs = spark.createDataFrame(data, "seq bigint, body string, identity_id string")
     change = routes.register(reqs, tables)
-    assert statuses(change.outcomes) == [400, 201, 400, 422, 422, 422, 201]
+    assert statuses(change.outcomes) == [400, 201, 400, 422, 422, 422, 201, 500, 201, 500]
     got = rows_of(change.tables["users"], "user_id")
     assert (got[5].user_name, got[5].keycloak_id, got[5].role_id) == ("dora", "k10", 2)
     assert (got[6].user_name, got[6].keycloak_id, got[6].role_id) == ("fay", None, 2)
+    assert (got[7].user_name, got[7].keycloak_id) == ("hal", "k12") and len(got) == 7
     tables["roles"] = tables["roles"].where("role_name = 'admin'")
-    assert statuses(routes.register(reqs, tables).outcomes) == [400, 500, 400, 422, 422, 422, 500]
+    assert statuses(routes.register(reqs, tables).outcomes) == [400, 500, 400, 422, 422, 422, 500, 500, 500, 500]
 
 
 def test_reads(spark, tables):
