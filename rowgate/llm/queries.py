@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rowgate.llm import simhash
+from rowgate.llm import pq, simhash
+
+#: Where Python workers of a local session find this package; on a cluster it is installed or sent with the job.
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.sparkContext.environment.setdefault("PYTHONPATH", _ROOT)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -17,8 +22,12 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op8_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pq.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_simhash,)}
+    return {f.__name__: f for f in (op2_simhash, op8_pq)}
 
 
 def oracle_sql() -> dict[str, str]:
