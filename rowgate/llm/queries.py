@@ -6,8 +6,10 @@ import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rowgate.llm import pq, simhash
+from rowgate.llm import chunks, exact, pq, simhash, token_files
+from rowgate.storage import fresh_dir
 
 #: Where Python workers of a local session find this package; on a cluster it is installed or sent with the job.
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -18,16 +20,40 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Where a public tokenizer's file is."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = chunks.deduplicate(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "n_bytes", "n_removed", F.size("spans").alias("n_spans"), "text")
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(vocabulary("byte_bpe_50k.json"), encoding="utf-8") as file:
+        definition = file.read()
+    path = fresh_dir(spark, "tokens")
+    token_files.write(_table(spark, sf_dir, "documents"), path, definition)
+    return token_files.digests(spark, path)
+
+
+def op6_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.removals(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op8_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_simhash, op8_pq)}
+    return {f.__name__: f for f in (op1_chunks, op2_simhash, op3_token_files, op6_suffix_arrays, op8_pq)}
 
 
 def oracle_sql() -> dict[str, str]:
