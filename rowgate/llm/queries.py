@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowgate.llm import chunks, exact, pq, simhash, token_files
+from rowgate.llm import chunks, exact, pq, quality, simhash, token_files, toxicity
 from rowgate.storage import fresh_dir
 
 #: Where Python workers of a local session find this package; on a cluster it is installed or sent with the job.
@@ -44,16 +44,24 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(spark, path)
 
 
+def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.assess(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op6_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.removals(_table(spark, sf_dir, "documents")).drop("spans")
 
 
+def op7_nbsvm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.assess(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op8_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chunks, op2_simhash, op3_token_files, op6_suffix_arrays, op8_pq)}
+    return {f.__name__: f for f in (op1_chunks, op2_simhash, op3_token_files, op5_kneser_ney, op6_suffix_arrays, op7_nbsvm, op8_pq)}
 
 
 def oracle_sql() -> dict[str, str]:
