@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowgate.llm import chunks, exact, pq, quality, simhash, token_files, toxicity
+from rowgate.llm import chunks, exact, pieces, pq, quality, simhash, tiling, token_files, toxicity
 from rowgate.storage import fresh_dir
 
 #: Where Python workers of a local session find this package; on a cluster it is installed or sent with the job.
@@ -44,6 +44,10 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(spark, path)
 
 
+def op4_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tiling.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op5_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.assess(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -60,8 +64,23 @@ def op8_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(vocabulary("piece_bpe_32k.model"), "rb") as file:
+        return pieces.digests(_table(spark, sf_dir, "documents"), file.read())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_chunks, op2_simhash, op3_token_files, op5_kneser_ney, op6_suffix_arrays, op7_nbsvm, op8_pq)}
+    return {f.__name__: f for f in (
+        op1_chunks,
+        op2_simhash,
+        op3_token_files,
+        op4_tiling,
+        op5_kneser_ney,
+        op6_suffix_arrays,
+        op7_nbsvm,
+        op8_pq,
+        op10_pieces,
+    )}
 
 
 def oracle_sql() -> dict[str, str]:
