@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowgate.llm import chunks, exact, pieces, pq, quality, simhash, tiling, token_files, toxicity
+from rowgate.llm import chunks, exact, pages, pieces, pq, quality, simhash, tiling, token_files, toxicity
 from rowgate.storage import fresh_dir
 
 #: Where Python workers of a local session find this package; on a cluster it is installed or sent with the job.
@@ -64,6 +64,10 @@ def op8_pq(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pq.near_duplicates(_table(spark, sf_dir, "embeddings"))
 
 
+def op9_minimum_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(_table(spark, sf_dir, "pages"))
+
+
 def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(vocabulary("piece_bpe_32k.model"), "rb") as file:
         return pieces.digests(_table(spark, sf_dir, "documents"), file.read())
@@ -79,6 +83,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op6_suffix_arrays,
         op7_nbsvm,
         op8_pq,
+        op9_minimum_cut,
         op10_pieces,
     )}
 
