@@ -73,6 +73,13 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         return pieces.digests(_table(spark, sf_dir, "documents"), file.read())
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    _table(spark, sf_dir, "documents")
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_chunks,
@@ -85,6 +92,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_pq,
         op9_minimum_cut,
         op10_pieces,
+        pipeline,
     )}
 
 

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowgate.llm.graph import components
@@ -59,17 +59,18 @@ def fingerprints_of(column: pa.Array, words: int = 3, seed: int = 42) -> np.ndar
     return out
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """``(doc_id, bits)``: the fingerprint as a signed long. Texts are read whole; null and wordless texts give 0."""
+def fingerprints(docs: DataFrame, version: Column | None = None) -> DataFrame:
+    """``(doc_id, version, bits)``: the fingerprint as a signed long, beside a value that tells texts of one id apart.
+    Texts are read whole; null and wordless texts give 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bits = fingerprints_of(batch.column(1)).view(np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits)], names=["doc_id", "bits"])
+            bits = pa.array(fingerprints_of(batch.column(2)).view(np.int64))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], bits], names=["doc_id", "version", "bits"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        run, "doc_id long, bits long"
-    )
+    version = F.lit(0).cast("long") if version is None else version
+    rows = docs.select(F.col("doc_id").cast("long"), version.alias("version"), F.col("text").cast("string"))
+    return rows.mapInArrow(run, "doc_id long, version long, bits long")
 
 
 # Vantage-point trees. The 64 bits are two halves: two fingerprints with at most three differing bits have a half with
@@ -216,6 +217,19 @@ def links(prints: DataFrame, per_shard: int = 2048, most_shards: int = 4096, sam
     return dealt.groupBy("shard").applyInPandas(join, "u long, v long")
 
 
+def _groups(prints: DataFrame) -> DataFrame:
+    """``(bits, label, component_id)``: for each distinct fingerprint its group and the smallest id in it."""
+    distinct = cut(prints.groupBy("bits").agg(F.min("doc_id").alias("first")))
+    groups = components(links(distinct))
+    labels = cut(
+        distinct.join(groups, distinct["bits"] == groups["node"], "left").select(
+            "bits", "first", F.coalesce("component", "bits").alias("label")
+        )
+    )
+    least = cut(labels.groupBy("label").agg(F.min("first").alias("component_id")))
+    return cut(labels.join(least, "label").select("bits", "label", "component_id"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``(doc_id, fingerprint, component_id)``: the group of each document of ``docs``.
 
@@ -225,15 +239,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     a group: a group of such rows alone has a null ``component_id``. Other columns are not looked at.
     """
     prints = cut(fingerprints(docs))
-    distinct = cut(prints.groupBy("bits").agg(F.min("doc_id").alias("first")))
-    groups = components(links(distinct))
-    labels = cut(
-        distinct.join(groups, distinct["bits"] == groups["node"], "left").select(
-            "bits", "first", F.coalesce("component", "bits").alias("label")
-        )
-    )
-    least = cut(labels.groupBy("label").agg(F.min("first").alias("component_id")))
-    named = cut(labels.join(least, "label").select("bits", "component_id"))
-    return prints.join(named, "bits").select(
+    return prints.join(_groups(prints), "bits").select(
         "doc_id", F.lpad(F.lower(F.hex("bits")), 16, "0").alias("fingerprint"), "component_id"
     )
+
+
+def representatives(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, all columns, that stay when one document of each group of ``near_duplicates`` stays.
+
+    That is the document with the group's smallest id; of several texts under that id, or in a group without any id,
+    the one with the smallest fingerprint and then text hash. Of equal rows one stays.
+    """
+    key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    named = docs.withColumn("_version", key)
+    prints = fingerprints(docs.withColumn("doc_id", F.col("doc_id").cast("long")), key)
+    prints = cut(prints)
+    first = prints.join(_groups(prints), "bits").where("component_id is null or doc_id = component_id")
+    first = first.groupBy("label").agg(F.min(F.struct("doc_id", "bits", "version")).alias("first"))
+    kept = cut(first.select(F.col("first.doc_id").alias("_doc"), F.col("first.version").alias("_kept")))
+    same = named["doc_id"].cast("long").eqNullSafe(kept["_doc"]) & (named["_version"] == kept["_kept"])
+    return named.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_version"]).drop("_version")
