@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from rowgate.storage import cut
 #: Bytes in an n-gram of the highest order: the byte itself and those before it in its word, zeros before the word.
 ORDER = 6
 #: Slots of the tables of each order; n-grams share slots only when there are more of them.
-SLOTS = {1: 8, 2: 16, 3: 18, 4: 19, 5: 20, 6: 20}
+SLOTS = {0: 1, 1: 8, 2: 16, 3: 17, 4: 18, 5: 18, 6: 19}
 DISCOUNT = 0.75
 _END = 0x20
 
@@ -80,8 +81,6 @@ class Model:
     own_context: np.ndarray  # highest order: counts and discounted mass of each context, for both classes
     shared: dict[int, np.ndarray]
     shared_context: dict[int, np.ndarray]
-    slope: float = 1.0
-    offset: float = 0.0
 
     def word_ratios(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         """Toxic minus ordinary log-likelihood of each word, divided by its length in bytes."""
@@ -89,12 +88,12 @@ class Model:
         chance = np.full(len(gram), 1 / 256)
         for order in range(1, ORDER):
             part = gram & ((1 << 8 * order) - 1)
-            seen, mass = self.shared_context[order][:, _slot(part >> 8, order)].astype(np.float64)
+            seen, mass = self.shared_context[order][:, _slot(part >> 8, order - 1)].astype(np.float64)
             found = self.shared[order][_slot(part, order)]
             chance = np.where(seen > 0, (found + mass * chance) / np.maximum(seen, 1), chance)
         ratio = np.zeros(len(gram))
         for k, sign in ((1, 1), (0, -1)):
-            seen, mass = self.own_context[2 * k : 2 * k + 2, _slot(gram >> 8, ORDER)].astype(np.float64)
+            seen, mass = self.own_context[2 * k : 2 * k + 2, _slot(gram >> 8, ORDER - 1)].astype(np.float64)
             found = self.own[k, _slot(gram, ORDER)]
             ratio += sign * np.log(np.where(seen > 0, (found + mass * chance) / np.maximum(seen, 1), chance))
         return np.bincount(owner, ratio, len(start)) / (end - start + 1)
@@ -130,7 +129,7 @@ def fit(docs: DataFrame) -> Model:
     for kind in ("ordinary", "toxic"):
         sums += [F.sum(kind).alias(f"{kind}_n"), F.sum(F.least(F.col(kind), F.lit(DISCOUNT))).alias(f"{kind}_mass")]
     names = ["ordinary_n", "ordinary_mass", "toxic_n", "toxic_mass"]
-    own_context = _by_slot(contexts.agg(*sums), names, ORDER)
+    own_context = _by_slot(contexts.agg(*sums), names, ORDER - 1)
     shared, shared_context, longer = {}, {}, counts.select("gram")
     for order in range(ORDER - 1, 0, -1):
         part = F.col("gram").bitwiseAND(F.lit((1 << 8 * order) - 1))
@@ -138,7 +137,7 @@ def fit(docs: DataFrame) -> Model:
         shared[order] = _by_slot(longer.select("gram", _kept("n").alias("n")), ["n"], order)[0]
         sums = [F.sum("n").alias("n"), F.sum(F.least(F.col("n"), F.lit(DISCOUNT))).alias("mass")]
         context = longer.select(F.shiftright("gram", 8).alias("gram"), "n").groupBy("gram").agg(*sums)
-        shared_context[order] = _by_slot(context, ["n", "mass"], order)
+        shared_context[order] = _by_slot(context, ["n", "mass"], order - 1)
     return Model(own, own_context, shared, shared_context)
 
 
@@ -165,27 +164,24 @@ def _beside(docs: DataFrame, labels: DataFrame, how: str, most: int) -> DataFram
     return docs.join(labels, docs["doc_id"] == labels["doc"], how).select("doc_id", "text", "toxic")
 
 
-def calibrated(docs: DataFrame, labels: DataFrame, model: Model, rows: int) -> Model:
-    """The model with the logistic curve that fits the ratios of at most ``rows`` documents with labels."""
+def curve(docs: DataFrame, labels: DataFrame, model: Broadcast, rows: int) -> tuple[float, float]:
+    """Slope and offset of the logistic curve that fits the ratios of at most ``rows`` documents with labels."""
     sample = labels.orderBy(F.xxhash64("doc"), "doc").limit(rows)
     known = _beside(docs, sample, "inner", rows)
     found = _ratios(known, model).select("toxic", "ratio").toPandas()
-    if found["toxic"].nunique() == 2:
-        found = found.sort_values(["ratio", "toxic"])
-        model.slope, model.offset = logistic(found["ratio"].to_numpy(), found["toxic"].to_numpy().astype(float))
-    else:
-        model.slope, model.offset = 0.0, float(np.log((found["toxic"].sum() + 1) / ((found["toxic"] == 0).sum() + 1)))
-    return model
+    if found["toxic"].nunique() < 2:
+        return 0.0, float(np.log((found["toxic"].sum() + 1) / ((found["toxic"] == 0).sum() + 1)))
+    found = found.sort_values(["ratio", "toxic"])
+    return logistic(found["ratio"].to_numpy(), found["toxic"].to_numpy().astype(float))
 
 
-def _ratios(docs: DataFrame, model: Model) -> DataFrame:
+def _ratios(docs: DataFrame, model: Broadcast) -> DataFrame:
     """All columns of ``docs`` but ``text``, and ``ratio``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.names.index("text")
-            ratio = pa.array(ratios(batch.column(at), shared.value))
+            ratio = pa.array(ratios(batch.column(at), model.value))
             rest = [i for i in range(batch.num_columns) if i != at]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in rest), ratio], names=[*(batch.schema.names[i] for i in rest), "ratio"]
@@ -214,9 +210,9 @@ def assess(
     learn = labels.where("doc_id is not null and toxic is not null").where(crc_fold(F.col("doc_id"), folds) != held)
     learn = learn.groupBy(F.col("doc_id").cast("long").alias("doc")).agg(F.max("toxic").cast("int").alias("toxic"))
     learn = cut(learn)
-    model = fit(_beside(docs, learn, "left", near_labels))
-    model = calibrated(docs, learn, model, curve_rows)
-    score = 1 / (1 + F.exp(-(F.lit(model.slope) * F.col("ratio") + F.lit(model.offset))))
+    model = docs.sparkSession.sparkContext.broadcast(fit(_beside(docs, learn, "left", near_labels)))
+    slope, offset = curve(docs, learn, model, curve_rows)
+    score = 1 / (1 + F.exp(-(F.lit(slope) * F.col("ratio") + F.lit(offset))))
     out = F.coalesce(crc_fold(F.col("doc_id"), folds) == held, F.lit(False))
     scored = _ratios(docs, model).select("doc_id", out.alias("held_out"), score.alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
