@@ -35,13 +35,17 @@ def cuts(data: np.ndarray, off: np.ndarray, bits: int, least: int, most: int) ->
     ``least`` bytes to the one before are left out, and pieces over ``most`` bytes are cut evenly, between characters.
     """
     found = np.flatnonzero(gear(data) >> np.uint16(16 - bits) == 0) + 1
+    text = np.searchsorted(off, found, "left") - 1
+    # The first 15 hashes of a text hold bytes of the one before it.
+    full = found - off[text] >= 16
+    found, stop = found[full], off[text[full] + 1]
     letter = np.flatnonzero((data & 0xC0) != 0x80)
     letter = np.append(letter, len(data))
     word = np.flatnonzero((KIND[data[1:]] != SPACE) & (KIND[data[:-1]] == SPACE)) + 1
     word = np.append(word, len(data))
     to_word = word[np.searchsorted(word, found)]
     to_letter = letter[np.searchsorted(letter, found)]
-    found = np.where(to_word - found <= 32, to_word, to_letter)
+    found = np.minimum(np.where(to_word - found <= 32, to_word, to_letter), stop)
     wide = np.unique(np.concatenate([off, found]))
     gap = np.diff(wide)
     long = np.flatnonzero(gap > most)
