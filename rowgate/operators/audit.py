@@ -19,11 +19,9 @@ def _counted(table: str, rule: str, rows: DataFrame) -> DataFrame:
     )
 
 
-def _row_rules(table: DataFrame, contract: Contract) -> DataFrame | None:
+def _row_rules(table: DataFrame, contract: Contract) -> DataFrame:
     """All row rules of a table in one scan: one conditional count each, then one row per rule."""
-    rules = list(row_rules(table, contract.fields))
-    if not rules:
-        return None
+    rules = [(f"{contract.key}:missing", F.col(contract.key).isNull()), *row_rules(table, contract.fields)]
     counts = table.agg(*[F.count(F.when(broken, 1)).alias(f"_r{i}") for i, (_, broken) in enumerate(rules)])
     lines = F.array(
         *[F.struct(F.lit(label).alias("rule"), F.col(f"_r{i}").alias("violations")) for i, (label, _) in enumerate(rules)]
@@ -32,7 +30,7 @@ def _row_rules(table: DataFrame, contract: Contract) -> DataFrame | None:
 
 
 def constraint_audit(tables: Mapping[str, DataFrame], contracts: Iterable[Contract]) -> DataFrame:
-    """One row per table and rule: primary key, unique key, references, and the row rules of every field."""
+    """One row per table and rule: primary key (repeated, missing), unique key, references, and every field's rules."""
     contracts = {c.name: c for c in contracts}
     parts = []
     for name, contract in contracts.items():
@@ -44,7 +42,5 @@ def constraint_audit(tables: Mapping[str, DataFrame], contracts: Iterable[Contra
             parent = contracts[link.parent]
             orphans = fk_orphans(table, link.column, tables[link.parent], parent.key)
             parts.append(_counted(name, f"fk:{link.column}", orphans))
-        rules = _row_rules(table, contract)
-        if rules is not None:
-            parts.append(rules)
+        parts.append(_row_rules(table, contract))
     return reduce(DataFrame.unionByName, parts)

@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from rowgate.functions.claims import all_roles, audience_matches, parse_claims, realm_roles
+from rowgate.functions.claims import all_roles, claims_valid, parse_claims, realm_roles
 from rowgate.functions.gates import FORBIDDEN, NO_LOGIN, OK
 
 # Fixed value: the text in a login reply that marks pending account actions.
@@ -56,14 +56,9 @@ def kid_match(
 
 
 def claims_filter(df: DataFrame, claims: str, audience: str, issuer: str, now: int | Column) -> DataFrame:
-    """Rows whose audience and issuer match and whose expiry lies after ``now``. Claims without expiry do not expire."""
-    parsed = parse_claims(F.col(claims))
+    """Rows whose claims are valid at ``now``; see ``claims_valid``."""
     now_col = now if isinstance(now, Column) else F.lit(now)
-    return df.where(
-        audience_matches(parsed["aud"], audience)
-        & (parsed["iss"] == issuer)
-        & F.coalesce(parsed["exp"] > now_col, F.lit(True))
-    )
+    return df.where(claims_valid(F.col(claims), audience, issuer, now_col))
 
 
 def login_outcome(log: DataFrame, code: str, body: str) -> DataFrame:

@@ -29,10 +29,13 @@ def winning_claims(
 ) -> DataFrame:
     """Sequence numbers of requests that are first for a key which the table does not hold yet.
 
+    The first claims are written before the join: they come out of an aggregation by the join key, whose partitions
+    could not be split where a key is hot in the table.
+
     The inner join lets Spark broadcast whichever of batch and table is small; a huge table is not shuffled for a
     small batch.
     """
-    first = first_claims(requests, cols, seq)
+    first = cut(first_claims(requests, cols, seq))
     held = table.select(*[F.col(t).alias(c) for c, t in zip(cols, table_cols or cols)])
     taken = first.join(held, list(cols)).select(seq)
     return first.select(seq).join(taken, seq, "left_anti")

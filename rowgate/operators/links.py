@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowgate.functions.gates import NOT_FOUND
+from rowgate.storage import cut
 
 
 @dataclass(frozen=True)
@@ -32,8 +33,13 @@ class Parent:
 
 def probe_parents(requests: DataFrame, parents: Sequence[Parent], seq: str) -> tuple[DataFrame, list[Column]]:
     """Join every parent and return 'reference is missing' columns in the given order."""
-    missing = []
+    missing: list[Column] = []
+    probed: set[str] = set()
     for i, p in enumerate(parents):
+        if p.column in probed and not requests.isStreaming:
+            # Two joins in a row on one column would share partitions, so that neither could be split.
+            requests = cut(requests)
+        probed.add(p.column)
         found = f"_parent{i}"
         keys = p.table.select(F.col(p.key).alias(found))
         if not p.unique:

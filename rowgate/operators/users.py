@@ -105,21 +105,33 @@ def register_users(
     role_id: str,
     role_value: str,
     gates: Sequence[Gate] = (),
+    refused: Column | None = None,
 ) -> DataFrame:
     """(seq, user_name, role_id, status, reason) of each registration.
 
-    Order: ``gates`` (row rules), name already known or claimed by an earlier request (400), role missing from the
-    roles table (500), created (201) with the id of role ``role_value``.
+    Order: ``gates`` (row rules), name already known or taken by an earlier request (400), role missing from the roles
+    table (500), ``refused`` because the identity is known (500), created (201) with the id of role ``role_value``.
+    Only a request that ends in an account takes a name: one that fails later on leaves it free for the next.
     """
     status, reason = first_failure(gates)
-    rows = requests.select(seq, F.col(name).alias("user_name"), status, reason)
+    known = F.coalesce(refused, F.lit(False)) if refused is not None else F.lit(False)
+    rows = requests.select(seq, F.col(name).alias("user_name"), known.alias("_refused"), status, reason)
+    rows = cut(insert_with_lookup_value(rows, "role_id", roles, F.col(role_name) == role_value, role_id))
+    fails = F.col("_refused") | F.col("role_id").isNull()
     live = rows.where(F.col("status").isNull())
-    winners = winning_claims(live, ["user_name"], seq, users, [user_name]).withColumn("_won", F.lit(True))
-    rows = rows.join(winners, seq, "left")
-    rows = insert_with_lookup_value(rows, "role_id", roles, F.col(role_name) == role_value, role_id)
+    won = winning_claims(live.where(~fails), ["user_name"], seq, users, [user_name])
+    won = cut(rows.select(seq, "user_name").join(won, seq, "left_semi"))
+    late = live.where(fails).select(seq, "user_name")
+    held = users.select(F.col(user_name).alias("user_name"))
+    earlier = won.select(F.col("user_name"), F.col(seq).alias("_first"))
+    taken = late.join(held, "user_name", "left_semi").select(seq)
+    taken = taken.unionByName(late.join(earlier, "user_name").where(F.col(seq) > F.col("_first")).select(seq)).distinct()
+    rows = rows.join(won.select(seq, F.lit(True).alias("_won")), seq, "left")
+    rows = rows.join(taken.withColumn("_taken", F.lit(True)), seq, "left")
     checks = [
-        Gate(F.col("_won").isNull(), EMPTY, "name in use"),
+        Gate(F.when(fails, F.col("_taken").isNotNull()).otherwise(F.col("_won").isNull()), EMPTY, "name in use"),
         Gate(F.col("role_id").isNull(), SERVER_ERROR, "role missing"),
+        Gate(F.col("_refused"), SERVER_ERROR, "identity known"),
     ]
     keep = [seq, "user_name", "role_id"]
     return finish(then(rows, keep, checks), keep, CREATED, "created")

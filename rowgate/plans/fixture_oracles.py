@@ -97,10 +97,11 @@ def oracle_sql() -> dict[str, str]:
               case when c_nationkey not between 0 and 20 then 'status:range' end) as errors
             from customer""",
         "coerce_types": """
-            select l_orderkey as order_id, l_partkey as menu_id, l_linenumber as n, cast(l_quantity as integer) as quantity,
+            select l_orderkey as order_id, l_partkey as menu_id, l_linenumber as n,
+              case when l_linenumber not in (2, 3) then cast(l_quantity as integer) end as quantity,
               case when l_tax = floor(l_tax) then cast(l_tax as integer) end as portions,
               cast(l_extendedprice as decimal(10,2)) as price,
-              strftime(l_shipdate - interval 2 hour, '%Y-%m-%d %H:%M:%S') as "at"
+              case when l_linenumber not in (3, 4) then strftime(l_shipdate - interval 2 hour, '%Y-%m-%d %H:%M:%S') end as "at"
             from lineitem""",
         "check_email": """
             with r as (
@@ -206,7 +207,7 @@ def oracle_sql() -> dict[str, str]:
               select e.event_id as req_id, e.user_id * 20 as target,
                 case when e.event_type = 'error' then 403 when c.c_custkey is null then 404
                      when exists (
-                       select 1 from orders o where o.o_custkey = e.user_id * 20 and o.o_totalprice > 450000) then 409
+                       select 1 from orders o where o.o_custkey * 3 = e.user_id * 20) then 409
                      else 0 end as gate
               from events e left join customer c on c.c_custkey = e.user_id * 20),
             w as (select target, min(req_id) as winner from b where gate = 0 group by target)
@@ -281,7 +282,7 @@ def oracle_sql() -> dict[str, str]:
             from r left join nation n on n.n_nationkey = r.kid""",
         "claims_filter": """
             select event_id as req_id from events
-            where event_type = 'click' and user_id < 50 and event_id > 50""",
+            where event_type = 'click' and user_id < 50 and event_id >= 50 and value <= 80""",
         "login_outcome": """
             with r as (
               select event_id as req_id, case when event_type = 'click' then 200 else 401 end as code,
@@ -295,6 +296,7 @@ def oracle_sql() -> dict[str, str]:
         "constraint_audit": """
             select 'customer' as table_name, 'pk' as rule, count(*) as violations
               from (select 1 from customer group by c_custkey having count(*) > 1)
+            union all select 'customer', 'c_custkey:missing', count(*) from customer where c_custkey is null
             union all select 'customer', 'c_name:missing', count(*) from customer where c_name is null
             union all select 'customer', 'c_nationkey:missing', count(*) from customer where c_nationkey is null
             union all select 'customer', 'c_nationkey:range', count(*) from customer where c_nationkey not between 0 and 20
@@ -305,9 +307,11 @@ def oracle_sql() -> dict[str, str]:
             union all select 'orders', 'pk', count(*) from (select 1 from orders group by o_orderkey having count(*) > 1)
             union all select 'orders', 'fk:o_custkey', count(*) from orders o
               where not exists (select 1 from customer c where c.c_custkey = o.o_custkey)
+            union all select 'orders', 'o_orderkey:missing', count(*) from orders where o_orderkey is null
             union all select 'orders', 'o_custkey:missing', count(*) from orders where o_custkey is null
             union all select 'orders', 'o_orderpriority:missing', count(*) from orders where o_orderpriority is null
             union all select 'part', 'pk', count(*) from (select 1 from part group by p_partkey having count(*) > 1)
+            union all select 'part', 'p_partkey:missing', count(*) from part where p_partkey is null
             union all select 'part', 'unique:p_brand,p_name', count(*)
               from (select 1 from part group by p_brand, p_name having count(*) > 1)
             union all select 'lineitem', 'pk', count(*)
@@ -316,9 +320,12 @@ def oracle_sql() -> dict[str, str]:
               from (select 1 from lineitem group by l_orderkey, l_linenumber having count(*) > 1)
             union all select 'lineitem', 'fk:menu_id', count(*) from lineitem l
               where not exists (select 1 from part p where p.p_partkey = l.l_partkey + 100)
+            union all select 'lineitem', 'l_orderkey:missing', count(*) from lineitem where l_orderkey is null
             union all select 'lineitem', 'l_quantity:missing', count(*) from lineitem where l_quantity is null
             union all select 'lineitem', 'l_quantity:gt', count(*) from lineitem where not l_quantity > 1
-            union all select 'events', 'pk', count(*) from (select 1 from events group by event_id having count(*) > 1)
+            union all select 'events', 'pk', count(*)
+              from (select 1 from events where value >= 5 group by event_id having count(*) > 1)
+            union all select 'events', 'event_id:missing', count(*) from events where not coalesce(value >= 5, false)
             union all select 'events', 'ts:missing', count(*) from events where ts is null
             union all select 'events', 'user_id:missing', count(*) from events where user_id is null
             union all select 'events', 'event_type:missing', count(*) from events where event_type is null

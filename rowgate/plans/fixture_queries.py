@@ -220,15 +220,21 @@ def q_validate_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_coerce_types(spark: SparkSession, sf: str) -> DataFrame:
+    n = col("l_linenumber")
+    tail = F.when(n == 2, F.lit("000001")).when(n == 3, F.lit("e1")).otherwise(F.lit(""))
+    zone = F.when(n == 3, F.lit(" Europe/Madrid")).otherwise(F.lit("+02:00"))
     raw = _table(spark, sf, "lineitem").select(
         col("l_orderkey").alias("order_id"),
         col("l_partkey").alias("menu_id"),
         col("l_linenumber").alias("n"),
-        # Text as it would stand in a request: '23.0', '68423.46', a local time with its offset.
-        col("l_quantity").cast("string").alias("quantity"),
+        # Text as it would stand in a request: '23.0', '68423.46', a local time with its offset. Some lines have what
+        # does not convert: a tiny fraction, an exponent, a zone by name, a month without a day.
+        F.concat(col("l_quantity").cast("string"), tail).alias("quantity"),
         col("l_tax").cast("string").alias("portions"),
         col("l_extendedprice").cast("string").alias("price"),
-        F.concat(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+02:00")).alias("at"),
+        F.when(n == 4, F.date_format("l_shipdate", "yyyy-MM"))
+        .otherwise(F.concat(F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss"), zone))
+        .alias("at"),
     )
     typed = coerce_types(
         raw,
@@ -444,8 +450,9 @@ def q_delete_outcome(spark: SparkSession, sf: str) -> DataFrame:
         col("event_id").alias("req_id"), (col("user_id") * 20).alias("target"), "event_type"
     )
     users = _table(spark, sf, "customer")
-    large = _table(spark, sf, "orders").where(col("o_totalprice") > 450000)
-    needed = delete_restrict(users.select("c_custkey"), "c_custkey", [(large, "o_custkey")])
+    # Scaled, so that two thirds of the customers are not needed.
+    refs = _table(spark, sf, "orders").select((col("o_custkey") * 3).alias("o_custkey"))
+    needed = delete_restrict(users.select("c_custkey"), "c_custkey", [(refs, "o_custkey")])
     restricted = needed.where("restricted").select(col("c_custkey").alias("root"))
     outcome = delete_outcome(
         requests,
@@ -573,9 +580,13 @@ def q_claims_filter(spark: SparkSession, sf: str) -> DataFrame:
         _text('"', col("event_type"), '"')
     )
     realm = F.when(col("user_id") < 50, F.lit("realm-1")).otherwise(F.lit("realm-2"))
+    # A fraction is cut off; an expiry that is no number is invalid.
+    exp = F.when(col("value") > 80, F.lit('"x"')).otherwise(
+        F.concat(col("event_id").cast("string"), F.when(col("value") < 30, F.lit(".5")).otherwise(F.lit("")))
+    )
     rows = _table(spark, sf, "events").select(
         col("event_id").alias("req_id"),
-        _text('{"aud":', aud, ',"iss":"', realm, '","exp":', col("event_id").cast("string"), "}").alias("claims"),
+        _text('{"aud":', aud, ',"iss":"', realm, '","exp":', exp, "}").alias("claims"),
     )
     return claims_filter(rows, "claims", "click", "realm-1", 50).select("req_id")
 
@@ -598,6 +609,7 @@ def q_login_outcome(spark: SparkSession, sf: str) -> DataFrame:
 def q_constraint_audit(spark: SparkSession, sf: str) -> DataFrame:
     tables = {n: _table(spark, sf, n) for n in ("customer", "orders", "part", "lineitem", "events")}
     tables["lineitem"] = tables["lineitem"].withColumn("menu_id", col("l_partkey") + 100)
+    tables["events"] = tables["events"].withColumn("event_id", F.when(col("value") >= 5, col("event_id")))
     return constraint_audit(tables, [CUSTOMER, ORDERS, PART, LINEITEM, EVENTS])
 
 

@@ -1,7 +1,8 @@
 """Request routes of the booking tables, each over a whole batch of requests.
 
 A request row is ``(seq bigint, caller_sub string, claims string, target_id int, body string)``: claims and body are
-JSON text, ``claims`` is null where no valid token came with the request. Requests are judged in order of ``seq``.
+JSON text, ``claims`` is null where no valid token came with the request. ``authenticate`` makes such requests from
+tokens' claims and key ids, and takes ``caller_sub`` from them. Requests are judged in order of ``seq``.
 ``tables`` maps table names to DataFrames. Every route gives outcomes ``(seq, status, reason)`` and, where it changes
 data, the new versions of the tables it touched.
 """
@@ -14,7 +15,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowgate.contracts import Contract
-from rowgate.functions.claims import parse_claims, realm_roles
+from rowgate.functions.claims import claims_valid, is_object, parse_claims, realm_roles
 from rowgate.functions.gates import (
     CREATED,
     DELETED,
@@ -30,7 +31,7 @@ from rowgate.functions.gates import (
 )
 from rowgate.operators.changes import apply_inserts, apply_patch, patch_outcome
 from rowgate.operators.deletes import delete_outcome, delete_rows, restricted_roots
-from rowgate.operators.identity import login_outcome
+from rowgate.operators.identity import kid_match, login_outcome
 from rowgate.operators.keys import assign_ids, insert_if_absent, unique_conflict
 from rowgate.operators.links import Parent, insert_with_lookup_value
 from rowgate.operators.lookups import is_small, lookup_by_alt_key, lookup_by_key, touched_rows
@@ -61,12 +62,40 @@ class Change:
     created: DataFrame | None = None
 
 
+@dataclass(frozen=True)
+class TokenRules:
+    """What a token must be: its audience, its issuer, the time it is judged at (epoch seconds), and the known keys.
+
+    ``keys`` has a column ``kid``; without it the requests' key ids are not looked at.
+    """
+
+    audience: str
+    issuer: str
+    now: int
+    keys: DataFrame | None = None
+
+
+def authenticate(requests: DataFrame, rules: TokenRules) -> DataFrame:
+    """Requests as the routes take them: ``claims`` only where the token is valid, ``caller_sub`` from its claims.
+
+    With ``rules.keys`` the requests' column ``kid`` must name one of the keys. Whatever ``caller_sub`` was sent is
+    replaced.
+    """
+    valid = claims_valid(F.col("claims"), rules.audience, rules.issuer, F.lit(rules.now))
+    if rules.keys is not None:
+        keys = rules.keys.select("kid").distinct()
+        requests = kid_match(requests, "kid", keys, "kid", {}).withColumnRenamed("status", "_kid_status")
+        valid = valid & (F.col("_kid_status") == OK)
+    claims = F.when(valid, F.col("claims"))
+    return requests.withColumns({"claims": claims, "caller_sub": parse_claims(claims)["sub"]}).drop("_kid_status")
+
+
 def _callers(requests: DataFrame) -> DataFrame:
-    """Requests with their claims read: ``logged_in`` and ``is_admin``."""
+    """Requests with their claims read: ``logged_in`` and ``is_admin``. Claims that are no JSON object are no login."""
     roles = realm_roles(parse_claims(F.col("claims")))
     return requests.withColumns(
         {
-            "logged_in": F.col("claims").isNotNull(),
+            "logged_in": is_object(F.col("claims")),
             "is_admin": F.coalesce(F.array_contains(roles, ADMIN_ROLE), F.lit(False)),
         }
     ).drop("claims")
@@ -279,10 +308,14 @@ def update_me(requests: DataFrame, tables: Mapping[str, DataFrame]) -> Change:
 def register(requests: DataFrame, tables: Mapping[str, DataFrame], identity: str = "identity_id") -> Change:
     """New users with the client role: 422, name in use 400, role missing 500, identity already known 500, else 201.
 
-    Column ``identity`` holds the id the identity server gave the account, null if there is none.
+    Column ``identity`` holds the id the identity server gave the account, null if there is none. A request whose
+    identity the table knows does not take a name. Of two new accounts with one identity in a batch the first is made;
+    the other's name stays taken until the next batch.
     """
     # Only what the account needs is stored; the password is checked and goes no further.
-    rows = cut(decode_bodies(requests, REGISTER).select(SEQ, "username", "errors", identity))
+    rows = decode_bodies(requests, REGISTER).select(SEQ, "username", "errors", identity)
+    held = tables["users"].select(F.col("keycloak_id").alias(identity)).where(F.col(identity).isNotNull()).distinct()
+    rows = cut(rows.join(held.withColumn("_known", F.lit(True)), identity, "left"))
     judged = cut(
         register_users(
             rows,
@@ -295,6 +328,7 @@ def register(requests: DataFrame, tables: Mapping[str, DataFrame], identity: str
             role_id="role_id",
             role_value=CLIENT_ROLE,
             gates=[_bad_body()],
+            refused=F.col("_known"),
         )
     )
     accepted = judged.where(F.col("status") == CREATED).select(SEQ, "user_name", "role_id")

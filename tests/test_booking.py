@@ -312,7 +312,38 @@ def test_register(spark, tables):
     assert (got[6].user_name, got[6].keycloak_id, got[6].role_id) == ("fay", None, 2)
     assert (got[7].user_name, got[7].keycloak_id) == ("hal", "k12") and len(got) == 7
     tables["roles"] = tables["roles"].where("role_name = 'admin'")
-    assert statuses(routes.register(reqs, tables).outcomes) == [400, 500, 400, 422, 422, 422, 500, 500, 500, 500]
+    assert statuses(routes.register(reqs, tables).outcomes) == [400, 500, 500, 422, 422, 422, 500, 500, 500, 500]
+
+
+def test_names_stay_free_when_a_registration_fails(spark, tables):
+    body = json.dumps({"username": "new", "email": "a@b.co", "password": "12345678"})
+    reqs = spark.createDataFrame(
+        [(1, body, "k1"), (2, body, "k20"), (3, body, "k1"), (4, body, "k21")], "seq bigint, body string, identity_id string"
+    )
+    change = routes.register(reqs, tables)
+    assert statuses(change.outcomes) == [500, 201, 400, 400]
+
+
+def test_tokens_are_checked_before_a_route(spark, tables):
+    def claims(**parts):
+        return json.dumps({"sub": "k1", "aud": "me", "iss": "realm", "exp": 100} | parts)
+
+    tokens = [
+        (1, claims(), "key"),
+        (2, claims(exp=99), "key"),
+        (3, claims(iss="other"), "key"),
+        (4, claims(aud="you"), "key"),
+        (5, claims(), "unknown"),
+        (6, "not json", "key"),
+        (7, "[]", "key"),
+        (8, None, "key"),
+        (9, claims(), None),
+    ]
+    rows = spark.createDataFrame([(s, "someone else", c, k, 1, None) for s, c, k in tokens], "seq bigint, caller_sub string, claims string, kid string, target_id int, body string")
+    rules = routes.TokenRules("me", "realm", 100, spark.createDataFrame([("key",)], "kid string"))
+    checked = routes.authenticate(rows, rules)
+    assert [r.status for r in routes.get_rows(checked, "users", tables).orderBy("seq").collect()] == [200] + [401] * 8
+    assert [r.caller_sub for r in checked.orderBy("seq").collect()] == ["k1"] + [None] * 8
 
 
 def test_reads(spark, tables):

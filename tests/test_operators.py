@@ -286,9 +286,14 @@ def test_identity_rows(spark):
         '{"aud":"me","iss":"q"}',
         '{"aud":"me","iss":"r","exp":5}',
         '{"iss":"r"}',
+        '{"aud":"me","iss":"r","exp":4.9}',
+        '{"aud":"me","iss":"r","exp":5.5}',
+        '{"aud":"me","iss":"r","exp":"x"}',
+        "not json",
+        None,
     ]
     df = spark.createDataFrame(list(enumerate(tokens)), "seq int, claims string")
-    assert values(claims_filter(df, "claims", "me", "r", 5), "seq") == [(0,), (1,)]
+    assert values(claims_filter(df, "claims", "me", "r", 5), "seq") == [(0,), (1,), (4,), (5,), (7,)]
     keys = spark.createDataFrame([("k1", "one"), (None, "anon")], "kid string, name string")
     df = spark.createDataFrame([(1, "k1"), (2, "zz"), (3, None)], "seq int, kid string")
     got = kid_match(df, "kid", keys, "kid", {"name": "name"})
@@ -303,17 +308,19 @@ def test_audit_counts_every_kind_of_fault(spark):
     b = Contract("b", "id", (), links=(Link("ref", "a"),))
     tables = {
         "a": spark.createDataFrame([(1, 1, "x"), (1, 1, "xxx"), (2, -1, None), (3, None, "y")], "id int, v int, s string"),
-        "b": spark.createDataFrame([(1, 1), (2, 7), (3, None)], "id int, ref int"),
+        "b": spark.createDataFrame([(1, 1), (2, 7), (3, None), (None, 1), (None, 1)], "id int, ref int"),
     }
     got = {(r.table_name, r.rule): r.violations for r in constraint_audit(tables, [a, b]).collect()}
     assert got == {
         ("a", "pk"): 1,
+        ("a", "id:missing"): 0,
         ("a", "unique:v"): 1,
         ("a", "v:missing"): 1,
         ("a", "v:gt"): 1,
         ("a", "s:missing"): 1,
         ("a", "s:max_length"): 1,
         ("b", "pk"): 0,
+        ("b", "id:missing"): 2,
         ("b", "fk:ref"): 1,
     }
 

@@ -9,7 +9,7 @@ from rowgate.operators import Parent, apply_inserts
 from rowgate.plans import routes
 from rowgate.plans.booking import CONTRACTS
 from rowgate.storage import fresh_dir
-from rowgate.streaming import InsertRules, apply_batch, drain, stream_apply, stream_fk_check
+from rowgate.streaming import InsertRules, apply_batch, drain, stream_apply, stream_compact, stream_fk_check
 
 ROWS = T.StructType([T.StructField("k", T.IntegerType())])
 RULES = InsertRules(
@@ -44,6 +44,34 @@ def test_replayed_batch_gives_the_same_state(spark):
     assert sorted(stored, key=repr) == [2, 3, None]
 
 
+def test_compaction_keeps_each_row_once(spark):
+    root = fresh_dir(spark, "test-compact")
+    base = spark.createDataFrame([(1,)], ROWS)
+    handle = apply_batch(lambda: base, root, RULES)
+    lots = [[(1, 1), (2, 2)], [(3, 2), (4, 3)], [(5, 3), (6, 4)], [(7, 1), (8, 5)]]
+    for number, lot in enumerate(lots):
+        handle(spark.createDataFrame(lot, "seq long, k int"), number)
+        if number == 1:
+            path = stream_compact(spark, base, root, ROWS, number)
+            assert sorted(r.k for r in spark.read.parquet(path).collect()) == [1, 2, 3]
+    once = outcomes(spark, root)
+    assert once == {1: 409, 2: 201, 3: 409, 4: 201, 5: 409, 6: 201, 7: 409, 8: 201}
+    handle(spark.createDataFrame(lots[1], "seq long, k int"), 1)
+    assert outcomes(spark, root) == once
+    last = stream_compact(spark, base, root, ROWS, 3)
+    assert sorted(r.k for r in spark.read.parquet(last).collect()) == [1, 2, 3, 4, 5]
+
+
+def test_a_base_that_is_replaced_is_read_anew(spark):
+    root = fresh_dir(spark, "test-anew")
+    tables = [spark.createDataFrame([(1,)], ROWS), spark.createDataFrame([(1,), (9,)], ROWS)]
+    handle = apply_batch(lambda: tables[0], root, RULES)
+    handle(spark.createDataFrame([(1, 1)], "seq long, k int"), 0)
+    tables.pop(0)
+    handle(spark.createDataFrame([(2, 9)], "seq long, k int"), 1)
+    assert outcomes(spark, root) == {1: 409, 2: 409}
+
+
 def test_batches_see_what_earlier_batches_added(spark):
     root = fresh_dir(spark, "test-stream")
     base = spark.createDataFrame([(100,)], ROWS)
