@@ -333,4 +333,8 @@ def oracle_sql() -> dict[str, str]:
             union all select 'events', 'props:missing', count(*) from events where props is null""",
         "stream_fk_check": _FK_CHECK,
         "stream_apply": _APPLY_INSERTS,
+        "stream_compact": _APPLY_INSERTS,
+        "publish_version": """
+            select o_orderkey, o_custkey from orders o
+            where not exists (select 1 from events e where e.event_id * 2 = o.o_orderkey)""",
     }

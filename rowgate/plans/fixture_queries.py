@@ -53,9 +53,9 @@ from rowgate.operators import (
     update_profile,
     validate_rows,
 )
-from rowgate.sources import append_accepted, decode_bodies, project_response, scan_typed
+from rowgate.sources import append_accepted, decode_bodies, project_response, publish_version, read_version, scan_typed
 from rowgate.storage import fresh_dir
-from rowgate.streaming import InsertRules, drain, stream_apply, stream_fk_check
+from rowgate.streaming import InsertRules, drain, stream_apply, stream_compact, stream_fk_check
 
 col = F.col
 
@@ -631,7 +631,26 @@ def q_stream_fk_check(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("req_id bigint, fk string").parquet(f"{root}/out")
 
 
+def q_publish_version(spark: SparkSession, sf: str) -> DataFrame:
+    """Two versions of a table are published; the later one, without some rows, is read."""
+    root = fresh_dir(spark, "versions")
+    orders = scan_typed(spark, f"{sf}/orders.parquet", ORDERS)
+    keys = _table(spark, sf, "events").select((col("event_id") * 2).alias("key"))
+    publish_version(orders, root, 0)
+    publish_version(delete_by_key(orders, "o_orderkey", keys, "key"), root, 1)
+    return read_version(spark, root, ORDERS).select("o_orderkey", "o_custkey")
+
+
 def q_stream_apply(spark: SparkSession, sf: str) -> DataFrame:
+    return _stream_apply(spark, sf, compact=False)
+
+
+def q_stream_compact(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with a new base after each lot."""
+    return _stream_apply(spark, sf, compact=True)
+
+
+def _stream_apply(spark: SparkSession, sf: str, compact: bool) -> DataFrame:
     """Events arrive in three lots, each applied to the table as the earlier lots left it."""
     root = fresh_dir(spark, "apply-stream")
     events = scan_typed(spark, f"{sf}/events.parquet", EVENTS)
@@ -647,7 +666,9 @@ def q_stream_apply(spark: SparkSession, sf: str) -> DataFrame:
     for number in range(3):
         events.where(lot == number).write.mode("append").parquet(f"{root}/in")
         requests = _booking_requests(_events_stream(spark, f"{root}/in"))
-        drain(stream_apply(requests, _bookings(spark, sf), root, rules))
+        drain(stream_apply(requests, lambda: _bookings(spark, sf), root, rules))
+        if compact:
+            stream_compact(spark, lambda: _bookings(spark, sf), root, table_schema, number)
     return spark.read.schema("req_id bigint, status int").parquet(f"{root}/outcomes").select("req_id", "status")
 
 
@@ -695,4 +716,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "constraint_audit": q_constraint_audit,
         "stream_fk_check": q_stream_fk_check,
         "stream_apply": q_stream_apply,
+        "stream_compact": q_stream_compact,
+        "publish_version": q_publish_version,
     }
