@@ -9,8 +9,9 @@ data, the new versions of the tables it touched.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -53,13 +54,31 @@ from rowgate.streaming.streams import InsertRules
 SEQ = "seq"
 
 
+Result = tuple[Mapping[str, DataFrame], DataFrame | None]
+
+
 @dataclass(frozen=True)
 class Change:
-    """Outcomes of a batch, the rows it created, and new versions of the tables it changed."""
+    """Outcomes of a batch, the rows it created, and new versions of the tables it changed.
+
+    Tables and created rows are planned when they are first asked for; who wants outcomes only pays for no ids,
+    cascades or patches.
+    """
 
     outcomes: DataFrame
-    tables: Mapping[str, DataFrame] = field(default_factory=dict)
-    created: DataFrame | None = None
+    result: Callable[[], Result]
+
+    @cached_property
+    def _made(self) -> Result:
+        return self.result()
+
+    @property
+    def tables(self) -> Mapping[str, DataFrame]:
+        return self._made[0]
+
+    @property
+    def created(self) -> DataFrame | None:
+        return self._made[1]
 
 
 @dataclass(frozen=True)
@@ -215,9 +234,13 @@ def create_rules(name: str, tables: Mapping[str, DataFrame]) -> InsertRules:
 
 def _insert(rows: DataFrame, outcomes: DataFrame, name: str, tables: Mapping[str, DataFrame]) -> Change:
     contract = CONTRACTS[name]
-    created = assign_ids(_served(rows, outcomes, CREATED), tables[name], contract.key, SEQ)
-    table = tables[name].unionByName(created.select(*contract.columns))
-    return Change(_outcomes(outcomes), {name: table}, created.select(SEQ, *contract.response_columns))
+
+    def result() -> Result:
+        created = assign_ids(_served(rows, outcomes, CREATED), tables[name], contract.key, SEQ)
+        table = tables[name].unionByName(created.select(*contract.columns))
+        return {name: table}, created.select(SEQ, *contract.response_columns)
+
+    return Change(_outcomes(outcomes), result)
 
 
 def update(requests: DataFrame, name: str, tables: Mapping[str, DataFrame]) -> Change:
@@ -241,12 +264,14 @@ def update(requests: DataFrame, name: str, tables: Mapping[str, DataFrame]) -> C
             held=tables[name],
         )
     )
-    patches = rows.join(outcomes.where(F.col("status") == OK).select(SEQ, "moved"), SEQ)
-    fields = {
-        n: (F.col(f"has_{n}") & F.col("moved") if n in contract.unique else F.col(f"has_{n}"), F.col(n)) for n in names
-    }
-    table = apply_patch(tables[name], contract.key, patches, "target_id", SEQ, fields)
-    return Change(_outcomes(outcomes), {name: table})
+
+    def result() -> Result:
+        patches = rows.join(outcomes.where(F.col("status") == OK).select(SEQ, "moved"), SEQ)
+        sent = {n: F.col(f"has_{n}") & F.col("moved") if n in contract.unique else F.col(f"has_{n}") for n in names}
+        fields = {n: (sent[n], F.col(n)) for n in names}
+        return {name: apply_patch(tables[name], contract.key, patches, "target_id", SEQ, fields)}, None
+
+    return Change(_outcomes(outcomes), result)
 
 
 def delete(requests: DataFrame, name: str, tables: Mapping[str, DataFrame]) -> Change:
@@ -262,7 +287,9 @@ def delete(requests: DataFrame, name: str, tables: Mapping[str, DataFrame]) -> C
         access = {"owner": "keycloak_id", "caller": "caller_sub", "admin": F.col("is_admin")}
     small = is_small(requests)
     asked = touched_rows(tables[name], requests, ("target_id", contract.key), small=small)
-    wanted = requests.select(F.col("target_id").alias(contract.key)).distinct()
+    # Requests that a gate refuses anyway have no children looked up.
+    passed = _callers(requests).select("target_id", *first_failure(gates, "_early", "_why")).where("_early is null")
+    wanted = passed.select(F.col("target_id").alias(contract.key)).distinct()
     roots = asked.join(wanted, contract.key, "left_semi").select(F.col(contract.key).alias("root"))
     restricted = restricted_roots(roots, name, tables, CONTRACTS)
     outcomes = cut(
@@ -271,7 +298,7 @@ def delete(requests: DataFrame, name: str, tables: Mapping[str, DataFrame]) -> C
         )
     )
     gone = outcomes.where(F.col("status") == DELETED).select(F.col("target").alias("root"))
-    return Change(_outcomes(outcomes), delete_rows(gone, name, tables, CONTRACTS))
+    return Change(_outcomes(outcomes), lambda: (delete_rows(gone, name, tables, CONTRACTS), None))
 
 
 def update_me(requests: DataFrame, tables: Mapping[str, DataFrame]) -> Change:
@@ -299,10 +326,10 @@ def update_me(requests: DataFrame, tables: Mapping[str, DataFrame]) -> Change:
         )
     )
     patches = outcomes.where((F.col("status") == OK) & F.col("new_name").isNotNull())
-    renamed = apply_patch(
-        users, contract.key, patches, "target", SEQ, {"user_name": (F.lit(True), F.col("new_name"))}
+    fields = {"user_name": (F.lit(True), F.col("new_name"))}
+    return Change(
+        _outcomes(outcomes), lambda: ({"users": apply_patch(users, contract.key, patches, "target", SEQ, fields)}, None)
     )
-    return Change(_outcomes(outcomes), {"users": renamed})
 
 
 def register(requests: DataFrame, tables: Mapping[str, DataFrame], identity: str = "identity_id") -> Change:
