@@ -18,6 +18,9 @@ from rowgate.llm.text import joined, ragged, slices
 MARK = "▁"
 _SEGMENT = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 _UNKNOWN = -1
+#: Bytes of text whose distinct words are encoded together, and how many answers on neighbouring pieces are kept.
+_SLICE = 1 << 22
+_KEPT = 1 << 18
 
 
 @dataclass
@@ -124,6 +127,8 @@ def encode_words(words: list[str], model: Vocabulary) -> list[list[int]]:
     models that merge pairs the last piece of a prefix is the one that can stand after the last piece of what is left.
     """
     ids, tails, byte, score, fits, merges = model.ids, model.tails, model.byte, model.score, model.fits, model.merges
+    if len(fits) > _KEPT:
+        fits.clear()
     longest = max(map(len, ids), default=1)
     floor = min(score) - 10
     last, begin, best = [0], [0], [0.0]
@@ -240,7 +245,7 @@ def tokenise(docs: DataFrame, model: bytes) -> DataFrame:
         for batch in batches:
             names = batch.schema.names
             at = names.index("text")
-            for first, texts in slices(batch.column(at), 1 << 24):
+            for first, texts in slices(batch.column(at), _SLICE):
                 ids, count = encode(texts, shared.value)
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(count)).astype(np.int32)), pa.array(ids))
                 columns = [c.slice(first, len(texts)) for c in batch.columns]
@@ -260,7 +265,7 @@ def digests(docs: DataFrame, model: bytes) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, texts in slices(batch.column(1), 1 << 24):
+            for first, texts in slices(batch.column(1), _SLICE):
                 ids, count = encode(texts, shared.value)
                 data, size = decode(ids, count, shared.value)
                 given, off = joined(texts)
