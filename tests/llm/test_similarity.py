@@ -1,0 +1,56 @@
+"""Near copies by the exact similarity of their shingles, against brute force."""
+
+import random
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from rowgate.llm import simhash
+
+from . import helpers
+
+
+def shingles(text):
+    words = (text or "").lower().split()
+    return {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))} if words else set()
+
+
+def kept(rows):
+    """The smallest id of each group of texts with a Jaccard similarity of 0.8 or more."""
+    sets = [shingles(t) for _, t in rows]
+    near = np.array([[a == b or 5 * len(a & b) >= 4 * len(a | b) for b in sets] for a in sets])
+    label = helpers.components(len(rows), lambda a, b: near[a:b])
+    return {min(rows[i][0] for i in np.flatnonzero(label == c)) for c in set(label.tolist())}
+
+
+@pytest.mark.parametrize("per_task", [512, 8])
+def test_near_copies_of_any_distance(spark, per_task):
+    random.seed(6)
+    rows = []
+    for _ in range(50):
+        text = [f"w{random.randrange(5000)}" for _ in range(random.randint(100, 400))]
+        rows.append(" ".join(text))
+        for k in (1, 2, 3, 4, 8):
+            other = list(text)
+            for at in random.sample(range(len(text)), k):
+                other[at] = f"x{random.randrange(5000)}"
+            rows.append(" ".join(other))
+    base = [f"v{i}" for i in range(300)]
+    for i in range(60):
+        base[random.randrange(300)] = f"y{i}"
+        rows.append(" ".join(base))
+    rows = list(enumerate([*rows, None, "", "two words", "Two  WORDS", "two words more"]))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = simhash.representatives(docs, words=5, similarity=0.8, per_task=per_task)
+    assert sorted(r.doc_id for r in got.collect()) == sorted(kept(rows))
+
+
+def test_stage_drops_copies_with_some_words_replaced(spark):
+    random.seed(7)
+    text = [f"w{random.randrange(5000)}" for _ in range(300)]
+    other = [f"x{i}" if i in (40, 120, 200, 280) else w for i, w in enumerate(text)]
+    rows = [(1, " ".join(text), "en", "a", 0), (2, " ".join(other), "en", "a", 0), (3, "something else", "en", "a", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.one_of_each_group(spark, docs, "")
+    assert sorted(r.doc_id for r in got.collect()) == [1, 3]
