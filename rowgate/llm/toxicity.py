@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -12,24 +11,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowgate.llm.quality import crc_fold, logistic
-from rowgate.llm.text import WORD, Hashes, joined, mix, ragged, slices, tokens
+from rowgate.llm.text import WORD, Hashes, joined, ragged, slices, tokens
 from rowgate.storage import cut
 
 #: Bytes in an n-gram of the highest order: the byte itself and those before it in its word, zeros before the word.
 ORDER = 6
-#: Slots of the tables of each order; n-grams share slots only when there are more of them.
-SLOTS = {0: 1, 1: 8, 2: 16, 3: 17, 4: 18, 5: 18, 6: 19}
 DISCOUNT = 0.75
 _END = 0x20
 
 
-def _slot(gram: np.ndarray, order: int) -> np.ndarray:
-    return (mix(gram.astype(np.uint64)) >> np.uint64(64 - SLOTS[order])).astype(np.int64)
-
-
 def _words(column: pa.Array) -> Iterator[tuple]:
-    """For runs of texts: first row, texts, bytes, starts and ends of the distinct words, and, for each word of each
-    text once, its text and its number."""
+    """For runs of texts: first row, texts, bytes, hashes, starts and ends of the distinct words, and, for each word of
+    each text once, its text and its number."""
     for first, texts in slices(column):
         data, off = joined(texts, lower=True)
         start, end, kind = tokens(data, off)
@@ -38,7 +31,7 @@ def _words(column: pa.Array) -> Iterator[tuple]:
         doc = np.searchsorted(off, start, "right") - 1
         pair = np.unique(doc * len(value) + number) if len(value) else np.zeros(0, np.int64)
         width = max(len(value), 1)
-        yield first, texts, data, start[one], end[one], pair // width, pair % width
+        yield first, texts, data, value.view(np.int64), start[one], end[one], pair // width, pair % width
 
 
 def grams(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -54,99 +47,134 @@ def grams(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
     return gram[ragged(begin, size + 1)], np.repeat(np.arange(len(size)), size + 1)
 
 
-def _count(docs: DataFrame) -> DataFrame:
-    """``(gram, ordinary, toxic)`` of all texts, with ``toxic`` given for the rows to learn from. Each word counts once
-    in a text, so that what a text repeats does not outweigh other texts."""
+def _vocabulary(docs: DataFrame) -> DataFrame:
+    """``(word, ordinary, toxic)``: every word and in how many texts of each kind it is. Each word counts once in a
+    text, so that what a text repeats does not outweigh other texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             label = batch.column(1).fill_null(-1).to_numpy()
-            for first, texts, data, start, end, doc, word in _words(batch.column(0)):
+            for first, texts, data, _, start, end, doc, word in _words(batch.column(0)):
                 kind = label[first : first + len(texts)][doc]
-                per_word = [np.bincount(word[kind == k], minlength=len(start)) for k in (0, 1)]
-                gram, owner = grams(data, start, end)
-                value, number = np.unique(gram, return_inverse=True)
-                sums = [np.bincount(number, w[owner], len(value)).astype(np.int64) for w in per_word]
-                yield pa.RecordBatch.from_arrays([pa.array(value), *map(pa.array, sums)], names=["gram", "ordinary", "toxic"])
+                per_word = [pa.array(np.bincount(word[kind == k], minlength=len(start))) for k in (0, 1)]
+                off = np.append(0, np.cumsum(end - start)).astype(np.int32)
+                flat = np.ascontiguousarray(data[ragged(start, end - start)])
+                names = pa.Array.from_buffers(pa.string(), len(start), [None, pa.py_buffer(off), pa.py_buffer(flat)])
+                yield pa.RecordBatch.from_arrays([names, *per_word], names=["word", "ordinary", "toxic"])
 
-    rows = docs.mapInArrow(run, "gram long, ordinary long, toxic long")
-    return rows.groupBy("gram").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
+    rows = docs.mapInArrow(run, "word string, ordinary long, toxic long")
+    return rows.groupBy("word").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
 
 
-@dataclass
-class Model:
-    """Tables by order, each as long as SLOTS says: their size does not depend on the corpus."""
+def _count(words: DataFrame) -> DataFrame:
+    """``(gram, ordinary, toxic)``: the counts of all n-grams of the highest order."""
 
-    own: np.ndarray  # highest order: discounted counts of both classes
-    own_context: np.ndarray  # highest order: counts and discounted mass of each context, for both classes
-    shared: dict[int, np.ndarray]
-    shared_context: dict[int, np.ndarray]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, off = joined(batch.column(0))
+            gram, owner = grams(data, off[:-1], off[1:])
+            value, number = np.unique(gram, return_inverse=True)
+            sums = [np.bincount(number, batch.column(k).to_numpy()[owner], len(value)).astype(np.int64) for k in (1, 2)]
+            yield pa.RecordBatch.from_arrays([pa.array(value), *map(pa.array, sums)], names=["gram", "ordinary", "toxic"])
 
-    def word_ratios(self, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        """Toxic minus ordinary log-likelihood of each word, divided by its length in bytes."""
-        gram, owner = grams(data, start, end)
-        chance = np.full(len(gram), 1 / 256)
-        for order in range(1, ORDER):
-            part = gram & ((1 << 8 * order) - 1)
-            seen, mass = self.shared_context[order][:, _slot(part >> 8, order - 1)].astype(np.float64)
-            found = self.shared[order][_slot(part, order)]
-            chance = np.where(seen > 0, (found + mass * chance) / np.maximum(seen, 1), chance)
-        ratio = np.zeros(len(gram))
-        for k, sign in ((1, 1), (0, -1)):
-            seen, mass = self.own_context[2 * k : 2 * k + 2, _slot(gram >> 8, ORDER - 1)].astype(np.float64)
-            found = self.own[k, _slot(gram, ORDER)]
-            ratio += sign * np.log(np.where(seen > 0, (found + mass * chance) / np.maximum(seen, 1), chance))
-        return np.bincount(owner, ratio, len(start)) / (end - start + 1)
+    rows = words.mapInArrow(run, "gram long, ordinary long, toxic long")
+    return rows.groupBy("gram").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
 
 
-def _by_slot(rows: DataFrame, columns: list[str], order: int) -> np.ndarray:
-    """Sums by slot: added up by Spark first, so that at most one row a slot comes to the driver."""
+def _spread(words: DataFrame) -> DataFrame:
+    """``(hash, gram)`` of every byte of every word and its end."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            slot = _slot(batch.column(0).to_numpy(), order)
-            yield pa.RecordBatch.from_arrays([pa.array(slot), *batch.columns[1:]], names=["slot", *columns])
-
-    numbers = rows.select("gram", *(F.col(c).cast("double").alias(c) for c in columns))
-    slots = numbers.mapInArrow(run, "slot long, " + ", ".join(f"{c} double" for c in columns))
-    found = slots.groupBy("slot").agg(*(F.sum(c).cast("float").alias(c) for c in columns)).toPandas()
-    out = np.zeros((len(columns), 1 << SLOTS[order]), np.float32)
-    out[:, found["slot"].to_numpy()] = found[columns].to_numpy().T
-    return out
+            data, off = joined(batch.column(0))
+            gram, owner = grams(data, off[:-1], off[1:])
+            value = Hashes(data).of(off[:-1], off[1:]).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(value[owner]), pa.array(gram)], names=["hash", "gram"])
+
+    return words.select("word").mapInArrow(run, "hash long, gram long")
 
 
 def _kept(count: str) -> F.Column:
     return F.greatest(F.col(count) - DISCOUNT, F.lit(0.0))
 
 
-def fit(docs: DataFrame) -> Model:
-    """Counts over all of ``docs``: class counts of the highest order from those whose ``toxic`` is not null, and
-    backoff counts, of how many different bytes precede an n-gram, from all of them."""
-    counts = cut(_count(docs.select("text", "toxic")))
-    own = _by_slot(counts.select("gram", _kept("ordinary").alias("a"), _kept("toxic").alias("b")), ["a", "b"], ORDER)
-    contexts = counts.select((F.shiftright("gram", 8)).alias("gram"), "ordinary", "toxic").groupBy("gram")
+def _mass(count: str) -> F.Column:
+    return F.sum(F.least(F.col(count), F.lit(DISCOUNT)))
+
+
+def _tail(order: int) -> F.Column:
+    return F.col("gram").bitwiseAND(F.lit((1 << 8 * order) - 1))
+
+
+def _chances(counts: DataFrame) -> DataFrame:
+    """``(tail, chance)`` of every n-gram of the order below the highest, by how many different bytes precede it, backed
+    off to lower orders in the same way."""
+    longer, seen = {}, counts.select("gram")
+    for order in range(ORDER - 1, 0, -1):
+        seen = longer[order] = cut(seen.select(_tail(order).alias("gram")).groupBy("gram").agg(F.count("*").alias("n")))
+    chance = None
+    for order in range(1, ORDER):
+        rows = longer[order].withColumn("context", F.shiftright("gram", 8))
+        rows = rows.join(rows.groupBy("context").agg(F.sum("n").alias("seen"), _mass("n").alias("mass")), "context")
+        if chance is None:
+            rows = rows.withColumn("before", F.lit(1 / 256))
+        else:
+            rows = rows.withColumn("tail", _tail(order - 1)).join(chance.withColumnRenamed("chance", "before"), "tail")
+        found = (_kept("n") + F.col("mass") * F.col("before")) / F.col("seen")
+        chance = cut(rows.select(F.col("gram").alias("tail"), found.alias("chance")))
+    return chance
+
+
+def fit(docs: DataFrame) -> DataFrame:
+    """``(hash, ratio)`` of every word of ``docs``: toxic minus ordinary log-likelihood, divided by its bytes and end.
+
+    Class counts of the highest order come from texts whose ``toxic`` is not null, and backoff counts, of how many
+    different bytes precede an n-gram, from all. Every n-gram has its own counts, in tables that grow with the corpus.
+    """
+    words = cut(_vocabulary(docs.select("text", "toxic")))
+    counts = cut(_count(words))
+    rows = counts.withColumn("context", F.shiftright("gram", 8)).withColumn("tail", _tail(ORDER - 1))
     sums = []
     for kind in ("ordinary", "toxic"):
-        sums += [F.sum(kind).alias(f"{kind}_n"), F.sum(F.least(F.col(kind), F.lit(DISCOUNT))).alias(f"{kind}_mass")]
-    names = ["ordinary_n", "ordinary_mass", "toxic_n", "toxic_mass"]
-    own_context = _by_slot(contexts.agg(*sums), names, ORDER - 1)
-    shared, shared_context, longer = {}, {}, counts.select("gram")
-    for order in range(ORDER - 1, 0, -1):
-        part = F.col("gram").bitwiseAND(F.lit((1 << 8 * order) - 1))
-        longer = cut(longer.select(part.alias("gram")).groupBy("gram").agg(F.count("*").alias("n")))
-        shared[order] = _by_slot(longer.select("gram", _kept("n").alias("n")), ["n"], order)[0]
-        sums = [F.sum("n").alias("n"), F.sum(F.least(F.col("n"), F.lit(DISCOUNT))).alias("mass")]
-        context = longer.select(F.shiftright("gram", 8).alias("gram"), "n").groupBy("gram").agg(*sums)
-        shared_context[order] = _by_slot(context, ["n", "mass"], order - 1)
-    return Model(own, own_context, shared, shared_context)
+        sums += [F.sum(kind).alias(f"{kind}_n"), _mass(kind).alias(f"{kind}_mass")]
+    rows = rows.join(cut(rows.groupBy("context").agg(*sums)), "context").join(_chances(counts), "tail")
+    logs = []
+    for kind in ("toxic", "ordinary"):
+        found = (_kept(kind) + F.col(f"{kind}_mass") * F.col("chance")) / F.col(f"{kind}_n")
+        logs.append(F.log(F.when(F.col(f"{kind}_n") > 0, found).otherwise(F.col("chance"))))
+    table = cut(rows.select("gram", (logs[0] - logs[1]).alias("ratio")))
+    joint = _spread(words).join(table, "gram").select("hash", "ratio")
+    return cut(joint.groupBy("hash").agg(F.avg("ratio").alias("ratio")))
+
+
+def dealt(table: DataFrame, per_block: int) -> list[Broadcast]:
+    """Hashes in order and ratios, in as many blocks as the table needs: a task holds one at a time."""
+    blocks = -(-table.count() // per_block)
+    out = []
+    for block in range(blocks):
+        part = table.where(F.pmod(F.xxhash64("hash"), F.lit(blocks)) == block).toArrow().sort_by("hash")
+        columns = part["hash"].to_numpy(), part["ratio"].to_numpy()
+        out.append(table.sparkSession.sparkContext.broadcast(columns))
+    return out
 
 
-def ratios(column: pa.Array, model: Model, words: int = 3) -> np.ndarray:
+def ratios(column: pa.Array, blocks: list[Broadcast], words: int = 3) -> np.ndarray:
     """For each text the mean ratio of its ``words`` most toxic distinct words; 0 for a text without words."""
     out = np.zeros(len(column))
-    for first, _, data, start, end, doc, word in _words(column):
+    parts = [(first, value, doc, word, np.zeros(len(value))) for first, _, _, value, _, _, doc, word in _words(column)]
+    for block in blocks:
+        known, found = block.value
+        if len(known):
+            for _, value, _, _, ratio in parts:
+                at = np.minimum(np.searchsorted(known, value), len(known) - 1)
+                hit = known[at] == value
+                ratio[hit] = found[at[hit]]
+        del known, found
+        if len(blocks) > 1:
+            block.__dict__.pop("_value", None)  # read again from the executor's disk when next needed
+    for first, _, doc, word, by_word in parts:
         if len(doc):
-            ratio = model.word_ratios(data, start, end)[word]
+            ratio = by_word[word]
             order = np.lexsort((-ratio, doc))
             doc, ratio = doc[order], ratio[order]
             some, lead, count = np.unique(doc, return_index=True, return_counts=True)
@@ -164,7 +192,7 @@ def _beside(docs: DataFrame, labels: DataFrame, how: str, most: int) -> DataFram
     return docs.join(labels, docs["doc_id"] == labels["doc"], how).select("doc_id", "text", "toxic")
 
 
-def curve(docs: DataFrame, labels: DataFrame, model: Broadcast, rows: int) -> tuple[float, float]:
+def curve(docs: DataFrame, labels: DataFrame, model: list[Broadcast], rows: int) -> tuple[float, float]:
     """Slope and offset of the logistic curve that fits the ratios of at most ``rows`` documents with labels."""
     sample = labels.orderBy(F.xxhash64("doc"), "doc").limit(rows)
     known = _beside(docs, sample, "inner", rows)
@@ -175,13 +203,13 @@ def curve(docs: DataFrame, labels: DataFrame, model: Broadcast, rows: int) -> tu
     return logistic(found["ratio"].to_numpy(), found["toxic"].to_numpy().astype(float))
 
 
-def _ratios(docs: DataFrame, model: Broadcast) -> DataFrame:
+def _ratios(docs: DataFrame, model: list[Broadcast]) -> DataFrame:
     """All columns of ``docs`` but ``text``, and ``ratio``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.names.index("text")
-            ratio = pa.array(ratios(batch.column(at), model.value))
+            ratio = pa.array(ratios(batch.column(at), model))
             rest = [i for i in range(batch.num_columns) if i != at]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(i) for i in rest), ratio], names=[*(batch.schema.names[i] for i in rest), "ratio"]
@@ -192,7 +220,13 @@ def _ratios(docs: DataFrame, model: Broadcast) -> DataFrame:
 
 
 def assess(
-    docs: DataFrame, labels: DataFrame, folds: int = 5, held: int = 0, curve_rows: int = 20000, near_labels: int = 1_000_000
+    docs: DataFrame,
+    labels: DataFrame,
+    folds: int = 5,
+    held: int = 0,
+    curve_rows: int = 20000,
+    near_labels: int = 1_000_000,
+    per_block: int = 1 << 20,
 ) -> DataFrame:
     """``(doc_id, held_out, score, predicted)`` for each row of ``docs``.
 
@@ -200,7 +234,8 @@ def assess(
     before it in the word. They differ in the counts of the highest order only; rare expressions fall back on counts
     that both share, taken over all of ``docs``, labelled or not. A word's ratio is the difference of its two
     log-likelihoods, divided by its length, and a text's is the mean over its three most toxic words. A logistic curve, fitted on at most
-    ``curve_rows`` labelled documents, turns ratios into scores; everything else is learned from all rows.
+    ``curve_rows`` labelled documents, turns ratios into scores; everything else is learned from all rows. Ratios of
+    words are broadcast in blocks of ``per_block``, however many there are.
 
     Labels of the fold ``held`` are never read; of several labels of one document the highest counts. Null, empty and
     wordless texts have ratio 0. Rows without ``doc_id`` are scored like any other, have no label and are not held
@@ -210,7 +245,7 @@ def assess(
     learn = labels.where("doc_id is not null and toxic is not null").where(crc_fold(F.col("doc_id"), folds) != held)
     learn = learn.groupBy(F.col("doc_id").cast("long").alias("doc")).agg(F.max("toxic").cast("int").alias("toxic"))
     learn = cut(learn)
-    model = docs.sparkSession.sparkContext.broadcast(fit(_beside(docs, learn, "left", near_labels)))
+    model = dealt(fit(_beside(docs, learn, "left", near_labels)), per_block)
     slope, offset = curve(docs, learn, model, curve_rows)
     score = 1 / (1 + F.exp(-(F.lit(slope) * F.col("ratio") + F.lit(offset))))
     out = F.coalesce(crc_fold(F.col("doc_id"), folds) == held, F.lit(False))
