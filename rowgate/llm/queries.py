@@ -40,7 +40,7 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     with open(vocabulary("byte_bpe_50k.json"), encoding="utf-8") as file:
         definition = file.read()
     path = fresh_dir(spark, "tokens")
-    token_files.write(_table(spark, sf_dir, "documents"), path, definition)
+    token_files.write(_table(spark, sf_dir, "documents"), path, definition, literal=False)
     return token_files.digests(spark, path)
 
 

@@ -20,20 +20,21 @@ END = 0
 FILE_SCHEMA = "doc_id long, part int, part_start long, n_tokens int, ids array<int>"
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(definition: str):
+@lru_cache(maxsize=4)
+def _tokenizer(definition: str, literal: bool):
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_str(definition)
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = literal
+    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
     names = tokenizer.get_vocab()
     spaced = np.zeros(max(names.values()) + 1, bool)
     for name, number in names.items():
         spaced[number] = name.startswith("Ġ")
-    return tokenizer, spaced
+    return tokenizer, spaced, [] if literal else added
 
 
 def _encode_parts(tokenizer, spaced: np.ndarray, parts: list[str], block: int = 512) -> tuple[np.ndarray, np.ndarray]:
@@ -54,13 +55,14 @@ def _encode_whole(tokenizer, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return flat, np.array([len(x) for x in ids], np.int64)
 
 
-def encode(column: pa.Array, definition: str) -> tuple[np.ndarray, np.ndarray]:
+def encode(column: pa.Array, definition: str, literal: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """All ids of the texts with END after each text, and the number of ids of each text.
 
     Texts are cut at single spaces, and each distinct part goes through the tokenizer once. A text with white space
-    next to a space, or at either end, goes through it as a whole.
+    next to a space, or at either end, goes through it as a whole. Unless ``literal``, the content of an added token
+    (such as <|endoftext|>) is that token, as in the library's own defaults, and a text with one goes through whole too.
     """
-    tokenizer, spaced = _tokenizer(definition)
+    tokenizer, spaced, added = _tokenizer(definition, literal)
     column = pc.fill_null(column.cast(pa.large_string()), "")
     lists = pc.split_pattern(column, " ")
     off = lists.offsets.to_numpy()
@@ -70,6 +72,8 @@ def encode(column: pa.Array, definition: str) -> tuple[np.ndarray, np.ndarray]:
     parts = values.dictionary.to_pylist()
     odd = np.array([not part or part[0].isspace() or part[-1].isspace() for part in parts], bool)
     whole = np.logical_or.reduceat(odd[code], off[:-1]) if len(column) else np.zeros(0, bool)
+    for content in added:
+        whole = whole | pc.match_substring(column, content).to_numpy(zero_copy_only=False)
     owner = np.repeat(np.arange(len(column)), np.diff(off))
     later = np.ones(len(code), bool)
     later[off[:-1]] = False
@@ -97,10 +101,11 @@ def encode(column: pa.Array, definition: str) -> tuple[np.ndarray, np.ndarray]:
     return flat[ragged(start[run], length[run])], count
 
 
-def write(docs: DataFrame, path: str, definition: str, stripe_mb: int = 64) -> None:
+def write(docs: DataFrame, path: str, definition: str, stripe_mb: int = 64, literal: bool = True) -> None:
     """Encode every text and write ``FILE_SCHEMA`` rows to ORC files at ``path``, in ascending order of ``doc_id``.
 
-    ``definition`` is the tokenizer's JSON. Texts are dealt by ranges of ``doc_id`` (a repeated id also by its text),
+    ``definition`` is the tokenizer's JSON; with ``literal`` added tokens in a text are spelled out, without they are
+    the tokens that a plainly loaded tokenizer gives, as ``op3_token_files`` has them. Texts are dealt by ranges of ``doc_id`` (a repeated id also by its text),
     so file k holds smaller ids than file k + 1, and each is sorted. Ids are integers, so ORC stores them with its
     run-length encoding. Row indexes and Bloom filters on ``doc_id`` let readers skip stripes and row groups. Null
     texts are empty and give END alone; rows without ``doc_id`` come first; repeated rows are all kept.
@@ -110,7 +115,7 @@ def write(docs: DataFrame, path: str, definition: str, stripe_mb: int = 64) -> N
         before = 0
         for batch in batches:
             for first, texts in slices(batch.column(2), 1 << 24):
-                ids, count = encode(texts, definition)
+                ids, count = encode(texts, definition, literal)
                 end = np.cumsum(count)
                 lists = pa.ListArray.from_arrays(pa.array(np.append(0, end).astype(np.int32)), pa.array(ids))
                 yield pa.RecordBatch.from_arrays(
