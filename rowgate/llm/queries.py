@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowgate.llm import chunks, exact, oracles, pages, pieces, pq, quality, simhash, tiling, token_files, toxicity, urls
+from rowgate.llm import chunks, dialogues, exact, oracles, pages, pieces, pq, quality, simhash, tiling, token_files, toxicity, urls
 from rowgate.storage import fresh_dir
 
 #: Where Python workers of a local session find this package; on a cluster it is installed or sent with the job.
@@ -77,6 +77,11 @@ def op12_url_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_table(spark, sf_dir, "pages")).drop("score")
 
 
+def op13_hirschberg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = dialogues.damage(_table(spark, sf_dir, "conversations"))
+    return dialogues.repair(damaged, copies=F.col("copies"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -97,6 +102,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_minimum_cut,
         op10_pieces,
         op12_url_models,
+        op13_hirschberg,
         pipeline,
     )}
 
