@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowgate.llm import chunks, dialogues, exact, oracles, pages, pieces, pq, quality, simhash, tiling, token_files, toxicity, urls
+from rowgate.llm import chunks, dialogues, exact, oracles, pages, pieces, pq, quality, simhash, spelling, tiling, token_files, toxicity, urls
 from rowgate.storage import fresh_dir
 
 #: Where Python workers of a local session find this package; on a cluster it is installed or sent with the job.
@@ -73,6 +73,10 @@ def op10_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         return pieces.digests(_table(spark, sf_dir, "documents"), file.read())
 
 
+def op11_composition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(_table(spark, sf_dir, "documents"))
+
+
 def op12_url_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_table(spark, sf_dir, "pages")).drop("score")
 
@@ -101,6 +105,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_pq,
         op9_minimum_cut,
         op10_pieces,
+        op11_composition,
         op12_url_models,
         op13_hirschberg,
         pipeline,
