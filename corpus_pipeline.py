@@ -24,8 +24,8 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates: shingles of five words, Jaccard similarity of 0.8 or more."""
-    return simhash.representatives(docs.select(*COLUMNS), words=5, similarity=0.8)
+    """One document of each group of near-duplicates: fingerprints of three-word shingles, three bits or fewer apart."""
+    return simhash.representatives(docs.select(*COLUMNS))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
