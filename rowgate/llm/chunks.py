@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowgate.llm.text import SPACE, KIND, joined, mix, slices
+from rowgate.llm.text import SPACE, KIND, joined, mix, slices, unused
 from rowgate.storage import cut
 
 #: The gear: a 16-bit value for each byte, from a rule. Shifted by one bit a byte, a value is gone after 16 bytes.
@@ -140,18 +140,16 @@ def deduplicate(docs: DataFrame, least_run: int = 64, bits: int = 5) -> DataFram
     """
     dropped = [c for c in docs.columns if c in ("n_bytes", "n_removed", "spans")]
     docs = docs.drop(*dropped)
-    found = repeats(docs, bits).select(
-        F.col("doc_id").alias("_doc"), F.col("version").alias("_version"), F.col("pieces").alias("_pieces")
-    )
+    key, doc, of, cuts_ = (unused(docs.columns, n) for n in ("key", "cut_id", "cut_version", "pieces"))
+    found = repeats(docs, bits).toDF(doc, of, cuts_)
     version = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    rows = docs.withColumn("_key", version).join(
-        found, F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_version")), "left"
-    )
+    rows = docs.withColumn(key, version)
+    rows = rows.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col(doc)) & (F.col(key) == F.col(of)), "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.schema.names
-            texts, pieces = batch.column(names.index("text")), batch.column(names.index("_pieces"))
+            texts, pieces = batch.column(names.index("text")), batch.column(names.index(cuts_))
             text, size, removed, spans = [], [], [], []
             for i in range(batch.num_rows):
                 value = texts[i].as_py()
@@ -177,4 +175,4 @@ def deduplicate(docs: DataFrame, least_run: int = 64, bits: int = 5) -> DataFram
     columns = docs.columns
     given = ", ".join(f"`{f.name}` {'string' if f.name == 'text' else f.dataType.simpleString()}" for f in docs.schema)
     schema = f"{given}, n_bytes long, n_removed long, spans array<struct<begin: long, end: long>>"
-    return rows.select(*columns, "_pieces").mapInArrow(run, schema)
+    return rows.select(*(f"`{c}`" for c in columns), cuts_).mapInArrow(run, schema)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rowgate.llm.graph import components
-from rowgate.llm.text import joined, mix, slices, xxh64
+from rowgate.llm.text import joined, slices, unused, xxh64
 from rowgate.storage import cut
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -227,151 +227,13 @@ def links(prints: DataFrame, per_shard: int = 2048, most_shards: int = 4096, sam
     return dealt.groupBy("shard").applyInPandas(join, "u long, v long")
 
 
-def _groups(prints: DataFrame, key: str = "bits", edges: DataFrame | None = None) -> DataFrame:
-    """``(key, label, component_id)``: for each distinct fingerprint (or other node) its group and the smallest id in it.
-    Without ``edges``, those of ``links`` join the nodes."""
-    distinct = cut(prints.groupBy(key).agg(F.min("doc_id").alias("first")))
-    groups = components(links(distinct) if edges is None else edges).toDF(key, "component")
-    labels = cut(distinct.join(groups, key, "left").select(key, "first", F.coalesce("component", key).alias("label")))
+def _groups(prints: DataFrame) -> DataFrame:
+    """``(bits, label, component_id)``: for each distinct fingerprint its group and the smallest id in it."""
+    distinct = cut(prints.groupBy("bits").agg(F.min("doc_id").alias("first")))
+    groups = components(links(distinct)).toDF("bits", "component")
+    labels = cut(distinct.join(groups, "bits", "left").select("bits", "first", F.coalesce("component", "bits").alias("label")))
     least = cut(labels.groupBy("label").agg(F.min("first").alias("component_id")))
-    return cut(labels.join(least, "label").select(key, "label", "component_id"))
-
-
-# Groups by the exact similarity of shingle sets. Texts with equal sets are one node. Candidates are nodes whose SimHash
-# fingerprints differ in three bits or fewer, and nodes that share a band of smallest hashes: at a similarity of 0.8 a
-# pair shares none of the BANDS in about 3 of 100,000 cases. Candidate links only say which nodes meet: all pairs of a
-# cluster are then compared by their whole sets.
-
-BANDS, ROWS = 20, 4
-#: Bytes of text whose sets are made together, and shingles in a chunk of a large cluster.
-_SLICE, _CHUNK = 1 << 19, 1 << 18
-_MULTIPLIERS = np.random.default_rng(5).integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-
-
-def _sets(part: pa.Array, words: int, seed: int = 42) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of each text, in order, how many each has, and the fingerprints of all shingles."""
-    h, per = _shingles(part, words, seed)
-    prints = _majority(h, per)
-    owner = np.repeat(np.arange(len(part)), per)
-    order = np.lexsort((h, owner))
-    h, owner = h[order], owner[order]
-    keep = np.ones(len(h), bool)
-    keep[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-    return h[keep], np.bincount(owner[keep], minlength=len(part)), prints
-
-
-def _sketches(h: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One number for each set, and its bands: each from the smallest hashes by ROWS orders. Empty sets are number 0."""
-    node, bands = np.zeros(len(size), np.uint64), np.zeros((len(size), BANDS), np.uint64)
-    some = np.flatnonzero(size)
-    if len(some):
-        begin = (np.cumsum(size) - size)[some]
-        node[some] = mix(np.add.reduceat(mix(h), begin) + size[some].astype(np.uint64))
-        for band in range(BANDS):
-            key = np.full(len(some), band + 1, np.uint64)
-            for k in range(band * ROWS, (band + 1) * ROWS):
-                key = mix(key + np.minimum.reduceat(h * _MULTIPLIERS[k], begin))
-            bands[some, band] = key
-    return node, bands
-
-
-def _sketched(docs: DataFrame, version: Column, words: int) -> DataFrame:
-    """``(doc_id, version, node, size, bits, bands)`` for each row."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, part in slices(batch.column(2), _SLICE):
-                h, size, prints = _sets(part, words)
-                node, bands = _sketches(h, size)
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.arange(len(part) + 1, dtype=np.int32) * BANDS), pa.array(bands.reshape(-1).view(np.int64))
-                )
-                given = [batch.column(i).slice(first, len(part)) for i in (0, 1)]
-                yield pa.RecordBatch.from_arrays(
-                    [*given, pa.array(node.view(np.int64)), pa.array(size), pa.array(prints.view(np.int64)), lists],
-                    names=["doc_id", "version", "node", "size", "bits", "bands"],
-                )
-
-    rows = docs.select(F.col("doc_id").cast("long"), version.alias("version"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id long, version long, node long, size long, bits long, bands array<long>")
-
-
-def _to_least(rows: DataFrame, key: str) -> DataFrame:
-    """``(u, v)`` from each node to the smallest node with the same ``key``: a key of many nodes gives no pairs."""
-    least = cut(rows.groupBy(key).agg(F.min("node").alias("least"), F.max("node").alias("most")).where("least < most"))
-    return rows.join(least, key).select(F.col("node").alias("u"), F.col("least").alias("v")).where("u <> v")
-
-
-def alike(sets: list[np.ndarray], similarity: float, block: int = 4096) -> np.ndarray:
-    """For each of some shingle sets the first that it reaches over pairs of at least this Jaccard similarity."""
-    size = np.array([len(s) for s in sets], np.int64)
-    owner = np.repeat(np.arange(len(sets)), size)
-    _, number, count = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_inverse=True, return_counts=True)
-    owner, number = owner[count[number] > 1], number[count[number] > 1]
-    shared = np.unique(number, return_inverse=True)[1]
-    order = np.argsort(shared, kind="stable")
-    owner, shared = owner[order], shared[order]
-    common = np.zeros((len(sets), len(sets)))
-    for first in range(0, int(shared[-1]) + 1 if len(shared) else 0, block):
-        a, b = np.searchsorted(shared, (first, first + block))
-        holds = np.zeros((len(sets), block), np.float32)
-        holds[owner[a:b], shared[a:b] - first] = 1
-        common += holds @ holds.T
-    near = common * (1 + similarity) >= similarity * (size[:, None] + size[None, :]) - 1e-6
-    np.fill_diagonal(near, True)
-    label = np.arange(len(sets))
-    while True:
-        new = np.where(near, label[None, :], len(sets)).min(axis=1, initial=len(sets))
-        if (new == label).all():
-            return label
-        label = new
-
-
-def _similar(docs: DataFrame, version: Column, prints: DataFrame, words: int, similarity: float, per_task: int) -> DataFrame:
-    """``(u, v)`` that connect the nodes of ``prints`` whose sets have at least this Jaccard similarity.
-
-    Each node of a candidate cluster goes to one task with its set. Clusters of more than ``per_task`` nodes, or _CHUNK
-    shingles, are dealt in chunks, each pair of chunks to a task of its own.
-    """
-    nodes = cut(prints.groupBy("node").agg(F.min(F.struct("doc_id", "version", "size", "bits", "bands")).alias("one")))
-    nodes = nodes.select("node", "one.doc_id", "one.version", "one.size", "one.bits", "one.bands")
-    by_bits = nodes.select("node", "bits")
-    first = cut(by_bits.groupBy("bits").agg(F.min("node").alias("node")))
-    near = links(first).join(first.select(F.col("bits").alias("u"), F.col("node").alias("nu")), "u")
-    near = near.join(first.select(F.col("bits").alias("v"), F.col("node").alias("nv")), "v").select("nu", "nv").toDF("u", "v")
-    bands = nodes.where("size > 0").select("node", F.explode("bands").alias("band"))
-    edges = _to_least(by_bits, "bits").unionByName(near).unionByName(_to_least(bands, "band"))
-    clusters = cut(components(edges).toDF("node", "cluster"))
-    held = clusters.join(nodes.select("node", "doc_id", "version", "size"), "node")
-    held = cut(held.where("size > 0"))
-    chunks = F.greatest(F.ceil(F.count("*") / per_task), F.ceil(F.sum("size") / _CHUNK))
-    chunks = F.least(F.count("*"), chunks).alias("chunks")
-    held = cut(held.join(cut(held.groupBy("cluster").agg(chunks)), "cluster"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at, part in slices(batch.column(3), _SLICE):
-                h, size, _ = _sets(part, words)
-                end = np.cumsum(size)
-                sets = [h[a:b].tobytes() for a, b in zip((end - size).tolist(), end.tolist(), strict=True)]
-                given = [batch.column(i).slice(at, len(part)) for i in range(3)]
-                yield pa.RecordBatch.from_arrays([*given, pa.array(sets, pa.binary())], names=["node", "cluster", "chunks", "set"])
-
-    def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.drop_duplicates("node")
-        label = alike([np.frombuffer(s, np.uint64) for s in rows["set"]], similarity)
-        node = rows["node"].to_numpy()
-        linked = np.flatnonzero(label != np.arange(len(label)))
-        return pd.DataFrame({"u": node[linked], "v": node[label[linked]]})
-
-    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), version.alias("_of"), F.col("text").cast("string"))
-    found = texts.join(held, texts["_id"].eqNullSafe(held["doc_id"]) & (texts["_of"] == held["version"]))
-    sets = found.select("node", "cluster", "chunks", "text").mapInArrow(run, "node long, cluster long, chunks long, set binary")
-    own = F.pmod(F.xxhash64("node"), F.col("chunks"))
-    dealt = sets.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    dealt = dealt.where("chunks = 1 or own <> other")
-    dealt = dealt.select("node", "cluster", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "set")
-    return dealt.groupBy("cluster", "a", "b").applyInPandas(compare, "u long, v long")
+    return cut(labels.join(least, "label").select("bits", "label", "component_id"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -388,27 +250,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def representatives(
-    docs: DataFrame, words: int = 3, similarity: float | None = None, per_task: int = 512
-) -> DataFrame:
+def representatives(docs: DataFrame, words: int = 3) -> DataFrame:
     """The rows of ``docs``, all columns, that stay when one document of each group of near-duplicates stays.
 
-    Groups are those of ``near_duplicates`` over shingles of ``words`` words. With ``similarity``, two documents link
-    instead when their sets of shingles, by 64-bit hashes, have at least this exact Jaccard similarity; all wordless
-    texts are alike. The document with the group's smallest id stays; of several texts under that id, or in a group
-    without any id, the one with the smallest fingerprint and then text hash. Of equal rows one stays.
+    Groups are those of ``near_duplicates`` over shingles of ``words`` words. The document with the group's smallest
+    id stays; of several texts under that id, or in a group without any id, the one with the smallest fingerprint and
+    then text hash. Of equal rows one stays.
     """
     key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    named = docs.withColumn("_version", key)
-    if similarity is None:
-        prints = cut(fingerprints(docs, key, words))
-        groups = _groups(prints)
-    else:
-        prints = cut(_sketched(docs, key, words))
-        groups = _groups(prints, "node", _similar(docs, key, prints, words, similarity, per_task))
-        prints = prints.select("doc_id", "version", "node", "bits")
-    first = prints.join(groups, groups.columns[0]).where("component_id is null or doc_id = component_id")
+    version = unused(docs.columns, "version")
+    named = docs.withColumn(version, key)
+    prints = cut(fingerprints(docs, key, words))
+    first = prints.join(_groups(prints), "bits").where("component_id is null or doc_id = component_id")
     first = first.groupBy("label").agg(F.min(F.struct("doc_id", "bits", "version")).alias("first"))
-    kept = cut(first.select(F.col("first.doc_id").alias("_doc"), F.col("first.version").alias("_kept")))
-    same = named["doc_id"].cast("long").eqNullSafe(kept["_doc"]) & (named["_version"] == kept["_kept"])
-    return named.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_version"]).drop("_version")
+    kept = cut(first.select(F.col("first.doc_id").alias("kept_id"), F.col("first.version").alias("kept_version")))
+    same = named["doc_id"].cast("long").eqNullSafe(kept["kept_id"]) & (named[version] == kept["kept_version"])
+    return named.join(kept, same, "left_semi").dropDuplicates(["doc_id", version]).drop(version)

@@ -5,7 +5,7 @@ Everything here works on one Arrow batch. Memory grows with the batch, or with t
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +43,14 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def unused(columns: Iterable[str], name: str) -> str:
+    """``name``, made longer until no column has it, whatever its case."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 class Hashes:
     """64-bit hashes of any byte ranges of one buffer, from one running sum."""
 
