@@ -20,10 +20,11 @@ from rowgate.operators.identity import (
     require_role,
     roles_union,
 )
-from rowgate.operators.keys import assign_ids, duplicate_keys, insert_if_absent, unique_conflict
+from rowgate.operators.keys import assign_ids, duplicate_keys, first_on_all, insert_if_absent, unique_conflict
 from rowgate.operators.links import (
     Parent,
     Path,
+    children_pages,
     children_summary,
     fk_check,
     fk_orphans,
@@ -47,6 +48,7 @@ __all__ = [
     "apply_patch",
     "assign_ids",
     "check_email",
+    "children_pages",
     "children_summary",
     "claims_filter",
     "coerce_types",
@@ -59,6 +61,7 @@ __all__ = [
     "delete_rows",
     "duplicate_keys",
     "fill_defaults",
+    "first_on_all",
     "fk_check",
     "fk_orphans",
     "insert_if_absent",

@@ -7,6 +7,7 @@ number, which is unique, so a key that a third of the batch asks for never meets
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window, functions as F
 from pyspark.sql import types as T
@@ -41,6 +42,32 @@ def winning_claims(
     return first.select(seq).join(taken, seq, "left_anti")
 
 
+def first_on_all(requests: DataFrame, cols: Sequence[str], seq: str) -> DataFrame:
+    """(seq, cols) of the requests that find each of their keys free when they are served in order.
+
+    Every column is a unique key of its own; a null claims nothing. A request takes its keys only if all are free, so
+    one that fails on one key leaves the others to the next. Requests are settled in rounds: those that are first on all
+    their keys are served, then they and all that share a key with them are done. There are as many rounds as the longest
+    chain in which each request waits for the one before; firsts are minima combined before the shuffle, and are matched
+    by sequence number.
+    """
+    open_ = cut(requests.select(seq, *cols))
+    served = []
+    while not served or open_.limit(1).count():
+        leads = open_
+        for i, name in enumerate(cols):
+            first = open_.where(F.col(name).isNotNull()).groupBy(name).agg(F.min(seq).alias(seq))
+            leads = leads.join(first.select(seq, F.lit(True).alias(f"_first{i}")), seq, "left")
+            leads = leads.where(F.col(name).isNull() | F.col(f"_first{i}"))
+        won = cut(leads.select(seq, *cols))
+        served.append(won)
+        left = open_.join(won.select(seq), seq, "left_anti")
+        for name in cols:
+            left = cut(left.join(won.select(name), name, "left_anti"))
+        open_ = left
+    return reduce(DataFrame.unionByName, served)
+
+
 def unique_conflict(
     requests: DataFrame,
     cols: Sequence[str],
@@ -72,8 +99,13 @@ def insert_if_absent(table: DataFrame, rows: DataFrame, cols: Sequence[str], seq
     return table.unionByName(new.select(*columns)).unionByName(free.select(*columns))
 
 
-def assign_ids(rows: DataFrame, table: DataFrame, key: str, seq: str, *, out: str | None = None) -> DataFrame:
-    """Add fresh dense identifiers above the table's highest one, in order of ``seq``.
+def assign_ids(
+    rows: DataFrame, table: DataFrame, key: str, seq: str | Sequence[str], *, out: str | None = None, above: int = 0
+) -> DataFrame:
+    """Add fresh dense identifiers above the table's highest one, and above ``above``, in order of ``seq``,
+    which may be several columns.
+
+    ``above`` is the highest identifier ever given; without it the one of a deleted last row is given again.
 
     The sequence numbers alone are sorted once across the cluster and kept in reliable storage, so that positions stay
     the same whoever reads them. Partition offsets come from one count per sorted partition: that list has as many
@@ -83,17 +115,18 @@ def assign_ids(rows: DataFrame, table: DataFrame, key: str, seq: str, *, out: st
     kind = next(f.dataType for f in table.schema if f.name == key)
     limit = _LIMITS["int" if isinstance(kind, T.IntegerType) else "bigint"]
 
-    placed = cut(rows.select(seq).sort(seq).withColumn("_at", F.monotonically_increasing_id())).select(
-        seq,
+    seq = [seq] if isinstance(seq, str) else list(seq)
+    placed = cut(rows.select(*seq).sort(*seq).withColumn("_at", F.monotonically_increasing_id())).select(
+        *seq,
         F.shiftrightunsigned("_at", _PARTITION_BITS).alias("_part"),
         F.col("_at").bitwiseAND(F.lit((1 << _PARTITION_BITS) - 1)).alias("_row"),
     )
     counts = placed.groupBy("_part").agg(F.count("*").alias("_n"))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    top = F.coalesce(table.agg(F.max(F.col(key).cast("bigint"))).scalar(), F.lit(0))
+    top = F.greatest(table.agg(F.max(F.col(key).cast("bigint"))).scalar(), F.lit(above).cast("bigint"))
     offsets = counts.select("_part", (top + F.coalesce(F.sum("_n").over(before), F.lit(0))).alias("_before"))
 
     fresh = F.col("_before") + F.col("_row") + 1
     checked = F.when(fresh > limit, F.raise_error(F.lit(f"{out} exceeds {limit}"))).otherwise(fresh)
-    ids = placed.join(F.broadcast(offsets), "_part").select(seq, checked.cast(kind).alias(out))
+    ids = placed.join(F.broadcast(offsets), "_part").select(*seq, checked.cast(kind).alias(out))
     return rows.join(ids, seq)

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, functions as F
 
 from rowgate.functions.gates import NOT_FOUND
+from rowgate.operators.keys import assign_ids
 from rowgate.storage import cut
 
 
@@ -104,6 +105,46 @@ def navigate_to_many(
     return parent.join(rows, key).unionByName(childless, allowMissingColumns=True)
 
 
+def children_pages(
+    parent: DataFrame,
+    key: str,
+    child: DataFrame,
+    column: str,
+    order: Sequence[str],
+    columns: Mapping[str, str],
+    *,
+    size: int = 1000,
+    page: str = "page",
+    out: str = "children",
+) -> DataFrame:
+    """Each parent with its children as arrays of structs, at most ``size`` in each: (parent, page from 0, children).
+
+    Children come by ``order``, which with ``column`` must tell them apart, as a primary key in it does; ``columns`` maps
+    child columns to names in the structs. A parent without children has one page with an empty array, and children
+    without a parent are in none.
+
+    No task holds all children of a parent: they are sorted by ranges, one parent over many tasks if need be, and a
+    child's rank is its place in the whole order less its parent's first. Pages are then gathered by (parent, page).
+    """
+    rows = child.where(F.col(column).isNotNull())
+    none = parent.select(F.lit(0).cast("bigint").alias("_place")).where(F.lit(False))
+    unique = [column, *order]
+    placed = cut(assign_ids(rows.select(*unique), none, "_place", unique))
+    first = cut(placed.groupBy(column).agg(F.min("_place").alias("_first")))
+    rank = F.col("_place") - F.col("_first")
+    ranked = placed.join(first, column).select(*unique, rank.alias("_rank"))
+    shown = F.struct("_rank", F.struct(*[F.col(c).alias(n) for c, n in columns.items()]).alias("_row"))
+    wide = rows.select(*dict.fromkeys([*unique, *columns])).join(ranked, unique)
+    wide = wide.select(F.col(column).alias("_parent"), F.floor(F.col("_rank") / size).cast("int").alias("_page"), shown.alias("_one"))
+    pages = wide.groupBy("_parent", "_page").agg(F.array_sort(F.collect_list("_one"))["_row"].alias("_rows"))
+    joined = parent.join(cut(pages), F.col(key) == F.col("_parent"), "left")
+    return joined.select(
+        *parent.columns,
+        F.coalesce("_page", F.lit(0)).alias(page),
+        F.coalesce("_rows", F.array().cast(pages.schema["_rows"].dataType)).alias(out),
+    )
+
+
 def children_summary(
     parent: DataFrame, key: str, child: DataFrame, column: str, measures: Sequence[Column]
 ) -> DataFrame:

@@ -19,7 +19,7 @@ from rowgate.functions.gates import (
     first_failure,
     then,
 )
-from rowgate.operators.keys import first_claims, winning_claims
+from rowgate.operators.keys import first_claims, first_on_all, winning_claims
 from rowgate.operators.links import insert_with_lookup_value
 from rowgate.operators.lookups import may_touch, owned_by_other
 from rowgate.storage import cut
@@ -106,32 +106,40 @@ def register_users(
     role_value: str,
     gates: Sequence[Gate] = (),
     refused: Column | None = None,
+    identity: str | None = None,
 ) -> DataFrame:
     """(seq, user_name, role_id, status, reason) of each registration.
 
     Order: ``gates`` (row rules), name already known or taken by an earlier request (400), role missing from the roles
-    table (500), ``refused`` because the identity is known (500), created (201) with the id of role ``role_value``.
-    Only a request that ends in an account takes a name: one that fails later on leaves it free for the next.
+    table (500), identity known (500), created (201) with the id of role ``role_value``. An identity is known where
+    ``refused`` says so, or if an earlier request of the batch made an account with that value of column ``identity``.
+    Only a request that ends in an account takes its name and identity: one that fails leaves both free for the next.
     """
     status, reason = first_failure(gates)
     known = F.coalesce(refused, F.lit(False)) if refused is not None else F.lit(False)
-    rows = requests.select(seq, F.col(name).alias("user_name"), known.alias("_refused"), status, reason)
+    own = [F.col(identity).alias("_identity")] if identity else []
+    rows = requests.select(seq, F.col(name).alias("user_name"), known.alias("_refused"), *own, status, reason)
     rows = cut(insert_with_lookup_value(rows, "role_id", roles, F.col(role_name) == role_value, role_id))
     fails = F.col("_refused") | F.col("role_id").isNull()
     live = rows.where(F.col("status").isNull())
-    won = winning_claims(live.where(~fails), ["user_name"], seq, users, [user_name])
-    won = cut(rows.select(seq, "user_name").join(won, seq, "left_semi"))
-    late = live.where(fails).select(seq, "user_name")
     held = users.select(F.col(user_name).alias("user_name"))
+    if identity:
+        free = cut(live.where(~fails).join(held, "user_name", "left_anti"))
+        won = cut(first_on_all(free, ["user_name", "_identity"], seq).select(seq, "user_name"))
+    else:
+        won = winning_claims(live.where(~fails), ["user_name"], seq, users, [user_name])
+        won = cut(rows.select(seq, "user_name").join(won, seq, "left_semi"))
+    late = cut(live.select(seq, "user_name").join(won.select(seq), seq, "left_anti"))
     earlier = won.select(F.col("user_name"), F.col(seq).alias("_first"))
     taken = late.join(held, "user_name", "left_semi").select(seq)
     taken = taken.unionByName(late.join(earlier, "user_name").where(F.col(seq) > F.col("_first")).select(seq)).distinct()
     rows = rows.join(won.select(seq, F.lit(True).alias("_won")), seq, "left")
     rows = rows.join(taken.withColumn("_taken", F.lit(True)), seq, "left")
+    lost = F.col("_won").isNull()
     checks = [
-        Gate(F.when(fails, F.col("_taken").isNotNull()).otherwise(F.col("_won").isNull()), EMPTY, "name in use"),
-        Gate(F.col("role_id").isNull(), SERVER_ERROR, "role missing"),
-        Gate(F.col("_refused"), SERVER_ERROR, "identity known"),
+        Gate(F.col("_taken"), EMPTY, "name in use"),
+        Gate(lost & F.col("role_id").isNull(), SERVER_ERROR, "role missing"),
+        Gate(lost, SERVER_ERROR, "identity known"),
     ]
     keep = [seq, "user_name", "role_id"]
     return finish(then(rows, keep, checks), keep, CREATED, "created")

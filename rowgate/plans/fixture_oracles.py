@@ -249,6 +249,16 @@ def oracle_sql() -> dict[str, str]:
             select b.req_id,
               case when gate <> 0 then gate when b.name <> old_name and w.winner <> b.req_id then 400 else 200 end as status
             from b left join w on w.brand = b.brand and w.name = b.name""",
+        "children_pages": """
+            with r as (
+              select o_custkey, o_orderkey, o_orderstatus, o_orderdate,
+                row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) - 1 as rank from orders),
+            p as (
+              select o_custkey, cast(rank // 8 as integer) as page,
+                string_agg(o_orderkey || ':' || o_orderstatus, ',' order by rank) as children
+              from r group by 1, 2)
+            select c_custkey, coalesce(page, 0) as page, coalesce(children, '') as children
+            from customer left join p on o_custkey = c_custkey""",
         "register_users": """
             with b as (
               select event_id as req_id,

@@ -20,6 +20,7 @@ from rowgate.operators import (
     apply_patch,
     assign_ids,
     check_email,
+    children_pages,
     children_summary,
     claims_filter,
     coerce_types,
@@ -515,6 +516,21 @@ def q_update_profile(spark: SparkSession, sf: str) -> DataFrame:
     return outcome.select("req_id", "status")
 
 
+def q_children_pages(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers with their orders by date, eight to a page, shown as text."""
+    pages = children_pages(
+        _table(spark, sf, "customer").select("c_custkey"),
+        "c_custkey",
+        _table(spark, sf, "orders"),
+        "o_custkey",
+        ["o_orderdate", "o_orderkey"],
+        {"o_orderkey": "id", "o_orderstatus": "status"},
+        size=8,
+    )
+    shown = F.transform("children", lambda c: F.concat(c["id"].cast("string"), F.lit(":"), c["status"]))
+    return pages.select("c_custkey", "page", F.array_join(shown, ",").alias("children"))
+
+
 def q_register_users(spark: SparkSession, sf: str) -> DataFrame:
     requests = _table(spark, sf, "events").select(
         col("event_id").alias("req_id"), _customer_name(col("user_id") * 20).alias("name"), "value"
@@ -707,6 +723,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "delete_detach": q_delete_detach,
         "update_profile": q_update_profile,
         "register_users": q_register_users,
+        "children_pages": q_children_pages,
         "roles_union": q_roles_union,
         "require_role": q_require_role,
         "location_id": q_location_id,

@@ -24,7 +24,6 @@ from rowgate.functions.gates import (
     INVALID,
     NO_LOGIN,
     OK,
-    SERVER_ERROR,
     Gate,
     finish,
     first_failure,
@@ -33,7 +32,7 @@ from rowgate.functions.gates import (
 from rowgate.operators.changes import apply_inserts, apply_patch, patch_outcome
 from rowgate.operators.deletes import delete_outcome, delete_rows, restricted_roots
 from rowgate.operators.identity import kid_match, login_outcome
-from rowgate.operators.keys import assign_ids, insert_if_absent, unique_conflict
+from rowgate.operators.keys import assign_ids, insert_if_absent
 from rowgate.operators.links import Parent, insert_with_lookup_value
 from rowgate.operators.lookups import is_small, lookup_by_alt_key, lookup_by_key, touched_rows
 from rowgate.operators.users import register_users, update_profile
@@ -335,9 +334,8 @@ def update_me(requests: DataFrame, tables: Mapping[str, DataFrame]) -> Change:
 def register(requests: DataFrame, tables: Mapping[str, DataFrame], identity: str = "identity_id") -> Change:
     """New users with the client role: 422, name in use 400, role missing 500, identity already known 500, else 201.
 
-    Column ``identity`` holds the id the identity server gave the account, null if there is none. A request whose
-    identity the table knows does not take a name. Of two new accounts with one identity in a batch the first is made;
-    the other's name stays taken until the next batch.
+    Column ``identity`` holds the id the identity server gave the account, null if there is none. Accounts come out as
+    if requests were served one by one: one that fails on its name or identity takes neither.
     """
     # Only what the account needs is stored; the password is checked and goes no further.
     rows = decode_bodies(requests, REGISTER).select(SEQ, "username", "errors", identity)
@@ -356,18 +354,12 @@ def register(requests: DataFrame, tables: Mapping[str, DataFrame], identity: str
             role_value=CLIENT_ROLE,
             gates=[_bad_body()],
             refused=F.col("_known"),
+            identity=identity,
         )
     )
     accepted = judged.where(F.col("status") == CREATED).select(SEQ, "user_name", "role_id")
     users = cut(accepted.join(rows.select(SEQ, F.col(identity).alias("keycloak_id")), SEQ))
-    known = unique_conflict(users, ["keycloak_id"], SEQ, tables["users"], conflict=SERVER_ERROR)
-    clash = known.where(F.col("status") == SERVER_ERROR).select(SEQ, F.lit(True).alias("_clash"))
-    outcomes = judged.join(clash, SEQ, "left").select(
-        SEQ,
-        F.when(F.col("_clash"), F.lit(SERVER_ERROR)).otherwise(F.col("status")).alias("status"),
-        F.when(F.col("_clash"), F.lit("identity known")).otherwise(F.col("reason")).alias("reason"),
-    )
-    return _insert(users, cut(outcomes), "users", tables)
+    return _insert(users, judged, "users", tables)
 
 
 def login(replies: DataFrame) -> DataFrame:

@@ -63,6 +63,13 @@ def scope(spark: SparkSession) -> Iterator[None]:
             remove_dir(spark, path)
 
 
+def keep(path: str) -> None:
+    """Have the open scope, if there is one, remove this folder too."""
+    paths = _open_scope.get()
+    if paths is not None:
+        paths.append(path)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Run ``df`` once, write its rows to the shared folder and read them back.
 
@@ -72,7 +79,5 @@ def cut(df: DataFrame) -> DataFrame:
     """
     path = fresh_dir(df.sparkSession, "cut")
     df.write.parquet(path)
-    paths = _open_scope.get()
-    if paths is not None:
-        paths.append(path)
+    keep(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,0 +1,255 @@
+"""Ordered logs against serving their requests one by one."""
+
+import json
+import random
+from datetime import datetime
+from decimal import Decimal
+
+import pytest
+
+from rowgate.contracts import CASCADE, RESTRICT, SET_NULL
+from rowgate.plans.booking import ADMIN_TABLES, CONTRACTS, NULL_PARENT_CHECKED
+from rowgate.plans.log import apply_log
+
+LOG = "seq bigint, kind string, entity string, caller_sub string, claims string, target_id int, body string"
+ADMIN = json.dumps({"sub": "k1", "realm_access": {"roles": ["admin"]}})
+USER = json.dumps({"sub": "k2", "realm_access": {"roles": ["client"]}})
+DATE = "2025-03-01T20:00:00"
+
+
+class Server:
+    """The tables as dictionaries, and the routes' rules, one request at a time."""
+
+    def __init__(self, tables, marks=None):
+        self.rows = {n: {r[0]: dict(zip(CONTRACTS[n].columns, r)) for r in rows} for n, rows in tables.items()}
+        self.mark = {n: max([*self.rows[n], (marks or {}).get(n, 0)]) for n in CONTRACTS}
+
+    def serve(self, kind, entity, claims, target, body):
+        if entity not in CONTRACTS or kind not in ("create", "update", "delete") or entity == "users" and kind != "delete":
+            return 404
+        contract = CONTRACTS[entity]
+        if claims is None:
+            return 401
+        if kind != "create" and target is None:
+            return 422
+        if kind != "delete" and (body is None or any(isinstance(v, int) and v < 0 for v in body.values())):
+            return 422
+        if kind == "create" and any(f.required and body.get(f.name) is None for f in contract.body_fields):
+            return 422
+        admin = "admin" in claims
+        if entity in ADMIN_TABLES and not admin:
+            return 403
+        if kind == "create":
+            return self.create(contract, body)
+        row = self.rows[entity].get(target)
+        if row is None:
+            return 404
+        return self.update(contract, row, body) if kind == "update" else self.delete(contract, row, claims)
+
+    def parent_missing(self, contract, body):
+        for link in contract.links:
+            if link.column in body:
+                value = body[link.column]
+                if value is None:
+                    if (contract.name, link.column) in NULL_PARENT_CHECKED:
+                        return True
+                elif value not in self.rows[link.parent]:
+                    return True
+        return False
+
+    def taken(self, contract, row, own):
+        key = [row[c] for c in contract.unique]
+        if not key or None in key:
+            return False
+        return any(r is not own and [r[c] for c in contract.unique] == key for r in self.rows[contract.name].values())
+
+    def create(self, contract, body):
+        self.mark[contract.name] += 1
+        row = {f.name: body.get(f.name, f.default) for f in contract.fields}
+        if self.parent_missing(contract, {k: v for k, v in row.items() if v is not None}):
+            return 404
+        if self.taken(contract, row, None):
+            return 409
+        key = self.mark[contract.name]
+        self.rows[contract.name][key] = {contract.key: key, **row}
+        return 201
+
+    def update(self, contract, row, body):
+        if not body:
+            return 400
+        if self.parent_missing(contract, body):
+            return 404
+        if any(f.required and f.name in body and body[f.name] is None for f in contract.body_fields):
+            return 409
+        new = {**row, **body}
+        if self.taken(contract, new, row):
+            return 409
+        row.update(body)
+        return 200
+
+    def below(self, contract, key, rule):
+        for name, child in CONTRACTS.items():
+            for link in child.links:
+                if link.parent == contract.name and link.on_delete == rule:
+                    for row in list(self.rows[name].values()):
+                        if row[link.column] == key:
+                            yield child, link, row
+
+    def closure(self, contract, key):
+        yield contract, key
+        for child, _, row in self.below(contract, key, CASCADE):
+            yield from self.closure(child, row[child.key])
+
+    def delete(self, contract, row, claims):
+        caller = json.loads(claims)["sub"]
+        if contract.name == "users" and "admin" not in claims and row["keycloak_id"] != caller:
+            return 403
+        gone = list(self.closure(contract, row[contract.key]))
+        if any(True for c, k in gone for _ in self.below(c, k, RESTRICT)):
+            return 409
+        for c, k in gone:
+            for _, link, child in self.below(c, k, SET_NULL):
+                child[link.column] = None
+            del self.rows[c.name][k]
+        return 204
+
+
+def start():
+    return {
+        "roles": [(1, "admin"), (2, "client")],
+        "users": [(1, "root", "k1", 1), (2, "ana", "k2", 2), (3, "bob", None, 2)],
+        "restaurants": [(i, f"r{i}", 1, 1) for i in (1, 2, 3)],
+        "menus": [(i, f"d{i % 3}", Decimal("3.50"), 1 + i // 3) for i in range(1, 7)],
+        "tables": [(i, i % 3 + 1, 1, 1 + i // 3) for i in range(1, 7)],
+        "orders": [(1, 1, 2, "here", 1), (2, 4, 2, "here", 2), (3, None, 2, "away", 2)],
+        "order_items": [(1, 1, 1, 2, Decimal("3.50"))],
+        "reservations": [(1, 2, 2, datetime(2025, 3, 1, 20, 0), 0)],
+    }
+
+
+def random_body(pick, entity, kind):
+    top = 9
+    some = {
+        "restaurants": {"restaurant_name": "x", "admin_id": pick.randrange(1, 5), "restaurant_status": 1},
+        "menus": {"dish_name": f"d{pick.randrange(4)}", "price": 5, "restaurant_id": pick.randrange(1, 6)},
+        "tables": {"table_number": pick.randrange(1, 5), "table_status": 1, "restaurant_id": pick.randrange(1, 6)},
+        "orders": {"table_id": pick.choice([None, pick.randrange(1, top)]), "client_id": pick.randrange(1, 5), "order_type": "t", "restaurant_id": pick.randrange(1, 6)},
+        "order_items": {"order_id": pick.randrange(1, 7), "menu_id": pick.randrange(1, top), "quantity": 1, "price": 2},
+        "reservations": {"table_id": pick.randrange(1, top), "client_id": 2, "reservation_date": DATE, "reservation_status": 1},
+        "roles": {"role_name": "n"},
+        "users": {},
+        "nothing": {},
+    }[entity]
+    if kind == "update":
+        some = {k: v for k, v in some.items() if pick.random() < 0.5}
+        if pick.random() < 0.1 and some:
+            some[pick.choice(list(some))] = None
+    elif pick.random() < 0.1 and some:
+        some.pop(pick.choice(list(some)))
+    if pick.random() < 0.03 and "restaurant_id" in some:
+        some["restaurant_id"] = -1
+    return some
+
+
+def random_log(seed, n):
+    pick = random.Random(seed)
+    names = ["restaurants", "menus", "menus", "tables", "tables", "orders", "order_items", "reservations", "users", "roles"]
+    log = []
+    for seq in range(n):
+        entity = pick.choice(names) if pick.random() < 0.99 else "nothing"
+        kind = pick.choice(["create", "update", "update", "delete", "delete"])
+        if entity == "users":
+            kind = pick.choice(["delete", "create"])
+        claims = pick.choice([ADMIN, ADMIN, ADMIN, ADMIN, USER, None])
+        target = None if kind == "create" or pick.random() < 0.02 else pick.randrange(1, 9)
+        body = None if kind == "delete" else random_body(pick, entity, kind)
+        log.append((seq * 3 + 1, kind, entity, claims, target, body))
+    return log
+
+
+def frames(spark, tables):
+    return {n: spark.createDataFrame(rows, CONTRACTS[n].schema).coalesce(1) for n, rows in tables.items()}
+
+
+def plain(value):
+    if isinstance(value, datetime):
+        return value.isoformat()
+    return str(float(value)) if isinstance(value, (Decimal, int)) else value
+
+
+def check(spark, tables, log, marks=None):
+    server = Server(tables, marks)
+    want = {seq: server.serve(kind, entity, claims, target, body) for seq, kind, entity, claims, target, body in log}
+    rows = [
+        (seq, kind, entity, json.loads(claims)["sub"] if claims else None, claims, target, json.dumps(body) if body is not None else None)
+        for seq, kind, entity, claims, target, body in log
+    ]
+    random.Random(1).shuffle(rows)
+    given = frames(spark, tables)
+    change = apply_log(spark.createDataFrame(rows, LOG).coalesce(2), given, marks)
+    got = {r.seq: r.status for r in change.outcomes.collect()}
+    by_seq = {row[0]: row for row in log}
+    assert {s: (got.get(s), by_seq[s]) for s in want if got.get(s) != want[s]} == {}, want
+    after = {**given, **change.tables}
+    for name, contract in CONTRACTS.items():
+        found = sorted(tuple(plain(v) for v in r) for r in after[name].select(*contract.columns).collect())
+        kept = sorted(tuple(plain(r[c]) for c in contract.columns) for r in server.rows[name].values())
+        assert sorted(map(str, found)) == sorted(map(str, kept)), name
+    assert {r.entity: r.mark for r in change.marks.collect()} == server.mark
+    return change, server, want
+
+
+@pytest.mark.parametrize("seed", [0])
+def test_random_log_equals_one_by_one(spark, seed):
+    _, _, want = check(spark, start(), random_log(seed, 90))
+    assert len(set(want.values())) > 6
+
+
+def menu(name, shop=1):
+    return {"dish_name": name, "price": 5, "restaurant_id": shop}
+
+
+def test_chains_of_keys_parents_and_children(spark):
+    """New parents, freed keys, swaps, rows that move twice, last children, claims of one key by a third of all rows."""
+    steps = [
+        ("create", "restaurants", ADMIN, None, {"restaurant_name": "n", "admin_id": 1, "restaurant_status": 1}),  # id 4
+        ("create", "tables", ADMIN, None, {"table_number": 1, "table_status": 1, "restaurant_id": 4}),  # id 7
+        ("create", "reservations", USER, None, {"table_id": 7, "client_id": 2, "reservation_date": DATE, "reservation_status": 1}),
+        ("delete", "restaurants", ADMIN, 4, None),  # the reservation holds its table
+        ("delete", "reservations", USER, 2, None),
+        ("create", "orders", USER, None, {"table_id": 7, "client_id": 2, "order_type": "t", "restaurant_id": 2}),
+        ("delete", "restaurants", ADMIN, 4, None),  # takes the table, the order keeps none
+        ("delete", "restaurants", ADMIN, 4, None),
+        ("create", "orders", USER, None, {"table_id": 7, "client_id": 2, "order_type": "t", "restaurant_id": 2}),
+        ("create", "restaurants", ADMIN, None, {"restaurant_name": "m", "admin_id": 1, "restaurant_status": 1}),  # id 5, not 4
+        # d1 and d2 of restaurant 1 swap names by way of a third one.
+        ("update", "menus", ADMIN, 1, {"dish_name": "d2"}),
+        ("update", "menus", ADMIN, 1, {"dish_name": "spare"}),
+        ("update", "menus", ADMIN, 2, {"dish_name": "d1"}),
+        ("update", "menus", ADMIN, 1, {"dish_name": "d2"}),
+        # The parts of a key come from two updates; the later create wants what they make together.
+        ("update", "menus", ADMIN, 3, {"restaurant_id": 5}),
+        ("update", "menus", ADMIN, 3, {"dish_name": "both"}),
+        ("create", "menus", ADMIN, None, menu("both", 5)),
+        ("delete", "menus", ADMIN, 3, None),
+        ("create", "menus", ADMIN, None, menu("both", 5)),
+        ("update", "tables", ADMIN, 5, {}),
+        ("update", "tables", ADMIN, 5, {"restaurant_id": None}),
+    ]
+    steps += [("create", "menus", ADMIN, None, menu("hot", 2))] * 15
+    steps += [("update", "menus", ADMIN, 4, {"price": i}) for i in range(1, 9)]
+    log = [(i, *step) for i, step in enumerate(steps, 1)]
+    change, server, want = check(spark, start(), log, marks={"menus": 20})
+    assert [want[i] for i in (4, 7, 8, 9, 11, 13, 14, 17, 19)] == [409, 204, 404, 404, 409, 200, 200, 409, 201]
+    assert sorted(server.rows["restaurants"]) == [1, 2, 3, 5] and min(k for k in server.rows["menus"] if k > 6) > 20
+    made = {(r.entity, r.id) for r in change.created.collect()}
+    assert {("restaurants", 4), ("restaurants", 5), ("tables", 7)} <= made
+
+
+def test_empty_and_unserved_logs(spark):
+    given = frames(spark, start())
+    none = apply_log(spark.createDataFrame([], LOG), given, {"menus": 9})
+    assert none.outcomes.collect() == [] and none.tables == {}
+    assert {r.entity: r.mark for r in none.marks.collect()}["menus"] == 9
+    odd = [(1, "create", "users", "k1", ADMIN, None, "{}"), (2, "drop", "menus", "k1", ADMIN, 1, None), (3, "delete", "x", None, None, 1, None)]
+    assert {r.status for r in apply_log(spark.createDataFrame(odd, LOG), given).outcomes.collect()} == {404}

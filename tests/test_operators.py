@@ -16,6 +16,7 @@ from rowgate.operators import (
     apply_inserts,
     apply_patch,
     assign_ids,
+    children_pages,
     claims_filter,
     coerce_types,
     constraint_audit,
@@ -24,6 +25,7 @@ from rowgate.operators import (
     delete_rows,
     duplicate_keys,
     fill_defaults,
+    first_on_all,
     fk_check,
     fk_orphans,
     insert_if_absent,
@@ -374,3 +376,40 @@ def test_cut_keeps_rows_and_types(spark):
     df = spark.createDataFrame([(1, Decimal("1.50"), None)], "a int, b decimal(10,2), c string")
     kept = cut(df)
     assert kept.dtypes == df.dtypes and kept.collect() == df.collect()
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_first_on_all_equals_one_by_one(spark, seed):
+    pick = random.Random(seed)
+    rows = []
+    for seq in range(200):
+        name = pick.choice([None, "hot", "hot", *(f"n{i}" for i in range(30))])
+        rows.append((seq, name, pick.choice([None, None, *range(25)]), pick.choice([None, *range(40)])))
+    # A chain in which every other request fails on the key that the one before it took.
+    rows += [(1000 + i, f"c{i // 2}", 100 + (i + 1) // 2, None) for i in range(9)]
+    names, second, third, want = set(), set(), set(), []
+    for seq, *keys in rows:
+        taken = [k is not None and k in held for k, held in zip(keys, (names, second, third))]
+        if not any(taken):
+            want.append(seq)
+            for k, held in zip(keys, (names, second, third)):
+                held.add(k)
+    pick.shuffle(rows)
+    got = first_on_all(spark.createDataFrame(rows, "seq long, a string, b int, c int"), ["a", "b", "c"], "seq")
+    assert sorted(r.seq for r in got.collect()) == want
+    assert first_on_all(got.where("seq < 0"), ["a"], "seq").collect() == []
+
+
+def test_children_pages(spark):
+    pick = random.Random(3)
+    rows = [(i, pick.choice([1, 1, 2, 3, 9, None]), pick.randrange(5)) for i in range(300)]
+    child = spark.createDataFrame(rows, "id int, owner int, rank int")
+    parent = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (4, "none"), (None, "null")], "key int, name string")
+    got = children_pages(parent, "key", child.repartition(7), "owner", ["rank", "id"], {"id": "child", "rank": "rank"}, size=16)
+    want = {}
+    for key, name in [(1, "a"), (2, "b"), (3, "c"), (4, "none"), (None, "null")]:
+        mine = sorted((r, i) for i, owner, r in rows if owner == key and key is not None)
+        for page in range(max(1, -(-len(mine) // 16))):
+            want[key, name, page] = [(i, r) for r, i in mine[page * 16 : page * 16 + 16]]
+    assert {(r.key, r.name, r.page): [tuple(c) for c in r.children] for r in got.collect()} == want
+    assert len(want) > 8
