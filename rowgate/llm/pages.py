@@ -13,13 +13,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Elements whose content is no text of the page; the first three run to the end of the page if unclosed.
+RAW = ("script", "style", "textarea")
+SKIPPED = (*RAW, "template", "noscript", "iframe", "object", "svg", "select")
+
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|template|noscript|iframe|object|svg|select|textarea)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    rf"|<({'|'.join(SKIPPED)})(?![\w:-])((?:\"[^\"]*\"|'[^']*'|[^'\">])*|[^>]*)>"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>"
     r"|<[!?/][^>]*>",
     re.DOTALL | re.IGNORECASE,
 )
+_ENDS = {tag: re.compile(rf"</{tag}\s*>", re.IGNORECASE) for tag in SKIPPED}
 _NAMES = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 
 #: Elements that begin a block, elements without an end tag, and what ends an open element of a kind.
@@ -58,7 +63,8 @@ class Block:
 
 def blocks(html: str) -> list[Block]:
     """The text blocks of a page in order. Broken markup is read as far as it goes: a paragraph ends where another
-    block begins, end tags without a start are skipped, and what is left open ends with the page."""
+    block begins, end tags without a start are skipped, and what is left open ends with the page. An embedded element
+    without an end tag is its tag alone, unless it holds raw text."""
     out: list[Block] = []
     # (tag, number, against, inside an article, named like content)
     stack: list[tuple[str, int, bool, bool, bool]] = [("", 0, False, False, False)]
@@ -81,13 +87,26 @@ def blocks(html: str) -> list[Block]:
             if in_link:
                 linked += stop - at
 
-    for token in _TOKEN.finditer(html):
+    unclosed: set[str] = set()
+    while token := _TOKEN.search(html, at):
         text_until(token.start())
         at = token.end()
-        tag = (token[3] or "").lower()
+        if token[1]:
+            tag = token[1].lower()
+            empty = tag == "svg" and token[2].endswith("/")
+            if not empty and tag not in unclosed:
+                stop = _ENDS[tag].search(html, at)
+                if stop:
+                    at = stop.end()
+                elif tag in RAW:
+                    at = len(html)
+                else:
+                    unclosed.add(tag)  # nor has any later one an end
+            continue
+        tag = (token[4] or "").lower()
         if not tag:
             continue
-        end = token[2] == "/"
+        end = token[3] == "/"
         if tag == "a":
             in_link = not end
         elif tag == "br":
@@ -109,7 +128,7 @@ def blocks(html: str) -> list[Block]:
         if tag in VOID:
             continue
         words = set()
-        for found in _NAMES.finditer(token[4]):
+        for found in _NAMES.finditer(token[5]):
             words |= set(re.split(r"[^a-z0-9]+", (found[1] or found[2] or found[3] or "").lower()))
         _, _, against, inside, named = stack[-1]
         number += 1

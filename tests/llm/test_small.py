@@ -183,6 +183,22 @@ def test_main_text():
     assert pages.main_text(None) == pages.main_text("") == pages.main_text("<nav>a b</nav><!-- x") == ""
 
 
+def test_embedded_elements():
+    """Self-closed and unclosed ones hide nothing but their tag; raw text without an end is the rest of the page."""
+    words = "Plain words of a paragraph that is long enough to be told from a menu."
+
+    def kept(between):
+        return pages.main_text(f"<article><p>{words} One.</p>{between}<p>{words} Two.</p></article>").split("\n\n")
+
+    for between in ("<svg viewBox='0 0 1 1' />", "<SVG/>", "<iframe src=x>", "<object data='a>b'>", "<noscript>", "<template>", "<svg>" * 5000):
+        assert [text[-4:] for text in kept(between)] == ["One.", "Two."]
+    for between in ("<svg><text>no</text></svg >", "<script>no</script>", "<textarea>no</textarea>", "<iframe>no</iframe>"):
+        assert kept(between) == [f"{words} One.", f"{words} Two."]
+    for between in ("<script>", "<style>", "<textarea/>"):
+        assert kept(between) == [f"{words} One."]
+    assert kept("<svg-icon>new</svg-icon>")[-1].endswith("Two.")
+
+
 def test_machine_separates():
     rng = np.random.default_rng(1)
     rows = [np.unique(np.append(rng.integers(0, 40, 6), [50 if i % 3 else 51])) for i in range(200)]
