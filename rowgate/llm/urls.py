@@ -123,8 +123,8 @@ def curve(scores: DataFrame) -> tuple[float, float]:
     )
     row = row.select(
         *row.columns,
-        ((F.col("n_True") * F.col("v_True") + F.col("n_False") * F.col("v_False")) / (F.col("n_True") + F.col("n_False"))).alias("v"),
-        F.log(F.col("n_True") / F.col("n_False")).alias("prior"),
+        F.try_divide(F.col("n_True") * F.col("v_True") + F.col("n_False") * F.col("v_False"), F.col("n_True") + F.col("n_False")).alias("v"),
+        F.log(F.try_divide("n_True", "n_False")).alias("prior"),
     ).first()
     if not row.n_True or not row.n_False or not row.v or row.m_True <= row.m_False:
         return 1.0, 0.0
