@@ -2,9 +2,11 @@
 
 Every string of ``length`` bytes has one anchor: the place inside it whose following bytes hash lowest, the first on a
 tie. Equal strings have equal anchors, so the strings around one anchor hash, and no others, have to be compared. The
-neighbouring strings of a text with the same anchor make one context. An anchor hash seen once has nothing repeated.
-Contexts that are equal as a whole repeat all their strings. What is left, different contexts around one anchor hash,
-goes to shards, each with a suffix array of its own.
+neighbouring strings of a text with the same anchor make one context, which is dealt twice: strings with at least half
+of their other bytes before the anchor, and the others. All strings of such a part hold the bytes of that half beside the
+anchor too, so parts that share a string also share this longer core, and the hash of the core is the key they meet under.
+A core seen once has nothing repeated. Parts that are equal as a whole repeat all their strings. What is left, different
+parts around one core, goes to shards, each with a suffix array of its own.
 """
 
 from __future__ import annotations
@@ -28,13 +30,15 @@ _PLACE = np.uint64((1 << 23) - 1)
 
 
 def contexts(data: np.ndarray, off: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Begin, end, anchor place and anchor hash of each context of the texts."""
+    """Begin, end, anchor place and core hash of each part of a context of the texts."""
+    half = (length - gram) // 2
     out: list[list[np.ndarray]] = [[], [], [], []]
     last = off[1:] - length
     doc_of = np.repeat(np.arange(len(off) - 1), np.diff(off))
     for base in range(0, max(len(data) - length + 1, 0), _BLOCK):
         part = data[base : base + _BLOCK + length - 1]
-        grams = Hashes(part).rolling(gram)
+        hashes = Hashes(part)
+        grams = hashes.rolling(gram)
         low = (grams & ~_PLACE) | np.arange(len(grams), dtype=np.uint64)
         # The least of length - gram + 1 neighbours, from powers of two.
         width = 1
@@ -52,14 +56,31 @@ def contexts(data: np.ndarray, off: np.ndarray, length: int, gram: int) -> tuple
         begin = np.flatnonzero(new)
         end = np.append(begin[1:], len(anchor))
         begin, end = begin[inside[begin]], end[inside[begin]]
-        for column, values in zip(
-            out, (base + begin, base + end - 1 + length, base + anchor[begin], grams[anchor[begin]]), strict=True
-        ):
-            column.append(values)
+        at = anchor[begin]
+        # Strings that begin half or more before the anchor hold the bytes from there to the anchor's end.
+        far = np.minimum(end, at - half + 1)
+        near = np.maximum(begin, at - half + 1)
+        for first, stop, low_end, high_end in ((begin, far, at - half, at + gram), (near, end, at, at + length - half + 1)):
+            some = first < stop
+            core = hashes.of(low_end[some], high_end[some])
+            for column, values in zip(out, (base + first[some], base + stop[some] - 1 + length, base + at[some], core), strict=True):
+                column.append(values)
     kinds = (np.int64, np.int64, np.int64, np.uint64)
     return tuple(np.concatenate([np.zeros(0, k), *c]) for c, k in zip(out, kinds, strict=True))
 
 
+def _cores(keys: DataFrame, length: int, gram: int) -> DataFrame:
+    """The core hash of every part, to be counted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, texts in slices(batch.column(0)):
+                core = contexts(*joined(texts), length, gram)[3]
+                yield pa.RecordBatch.from_arrays([pa.array(core.view(np.int64))], names=["anchor"])
+
+    return keys.select("text").mapInArrow(run, "anchor long")
+
+
 def _contexts(keys: DataFrame, length: int, gram: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -132,12 +153,12 @@ def _shard(rows: pd.DataFrame, length: int) -> pd.DataFrame:
 def spans(docs: DataFrame, length: int = 200, gram: int = 32, shard_rows: int = 1024, group_rows: int = 2048) -> DataFrame:
     """``(doc_id, version, spans)``: the repeated ranges of each document, as bytes, unsorted and overlapping.
 
-    ``group_rows`` is the most contexts of one anchor hash that go to one shard; larger groups are salted over several
+    ``group_rows`` is the most parts of one core that go to one shard; larger groups are salted over several
     shards and their strings compared across shards by digest.
     """
     keys = keyed(docs)
     every = _contexts(keys, length, gram)
-    again = every.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    again = _cores(keys, length, gram).groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
     seen = cut(every.join(cut(again), "anchor"))
     where = F.struct("doc_id", "version", "place", "size")
     kinds = cut(seen.groupBy("anchor", "context").agg(F.count("*").alias("n"), F.min(where).alias("one")))
