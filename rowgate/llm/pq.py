@@ -60,9 +60,8 @@ class Index:
         """Each vector's own list, and which lists with smaller numbers may hold a partner of it.
 
         A partner within ``reach`` that lies in list j is nearer to centre j than to this vector's centre, so the
-        plane half way between the two centres is at most ``reach`` away. Lists farther than that cannot matter. Of a
-        step towards the partner only the part along one direction counts, which for a step in no special direction
-        is ``reach`` / sqrt(dim): lists whose plane is farther than ``margin`` * ``reach`` are not probed.
+        plane half way between the two centres is at most ``reach`` away. Lists farther than that cannot matter, and
+        lists whose plane is farther than ``margin`` * ``reach`` are not probed.
         """
         squares = _squares(unit, self.centres)
         home = squares.argmin(1)
@@ -116,7 +115,7 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def _links_of(
-    distinct: DataFrame, dim: int, least: float, per_list: int, chunk: int, sample: int, margin: float | None
+    distinct: DataFrame, dim: int, least: float, per_list: int, chunk: int, sample: int, margin: float
 ) -> DataFrame:
     """``(node, links, root)`` parts for vectors of one length: links found in a task, and a node of the same group."""
     spark = distinct.sparkSession
@@ -124,7 +123,6 @@ def _links_of(
     rows = distinct.select("blob").orderBy(F.xxhash64("blob"), "blob").limit(sample).collect()
     unit = _vectors([row["blob"] for row in rows], dim)[1]
     lists = max(1, min(total // per_list, len(rows) // 8, 4096))
-    margin = min(1.0, 4 / np.sqrt(dim)) if margin is None else margin
     index = Index.fit(unit, lists, 8, 256, float(np.sqrt(2 - 2 * least)), margin)
     shared = spark.sparkContext.broadcast(index)
 
@@ -238,16 +236,15 @@ def near_duplicates(
     per_list: int = 512,
     chunk: int = 8192,
     sample: int = 16384,
-    margin: float | None = None,
+    margin: float = 1.0,
 ) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` for each row of ``vectors``.
 
     Two rows link when the cosine of their vectors, in double precision, is at least ``least``. The index is fitted on
     at most ``sample`` distinct vectors and holds all of them. Coded distances are used less each code's known error,
     and every pair that is left gets its exact cosine, so within the probed lists no link is lost. Lists are probed
-    ``margin`` times as far as a partner can lie: 1 is exact, and the default, 4 / sqrt(dim), leaves four times the
-    usual part of a step along one direction. Its recall on the test tables is 1. Equal vectors are one node with a
-    weight. Long lists are dealt to several tasks in chunks.
+    ``margin`` times as far as a partner can lie: the default of 1 is exact, and less loses links that step along the
+    line between two centres. Equal vectors are one node with a weight. Long lists are dealt to several tasks in chunks.
 
     A vector that is null, empty, zero, or has a null or non-finite part links with nothing, and neither do vectors of
     different lengths. Each row gives a row, repeated or not. A row without ``vec_id`` counts as a link of others, but
