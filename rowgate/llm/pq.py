@@ -36,6 +36,24 @@ def _squares(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.maximum(d, 0)
 
 
+def _margins(centres: np.ndarray, rest: np.ndarray, home: np.ndarray) -> np.ndarray:
+    """How much of a step may go along the line between two centres: four times the usual part, at most all of it.
+
+    The usual part is the root of the residuals' share of variance along that line: of all residuals, or of those in
+    either list, whichever is most. Where residuals have no special direction it is 1 / sqrt(dim).
+    """
+    spread = rest.T @ rest
+    total = max(float(np.trace(spread)), 1e-300)
+    share = np.zeros((len(centres),) * 2, np.float32)
+    for i in range(len(centres)):
+        line = centres - centres[i]
+        line /= np.maximum(np.sqrt((line**2).sum(1)), 1e-300)[:, None]
+        own = rest[home == i]
+        here = ((own @ line.T) ** 2).sum(0) / max(float((own**2).sum()), 1e-300)
+        share[i] = np.maximum(((line @ spread) * line).sum(1) / total, here)
+    return np.minimum(1, 4 * np.sqrt(np.maximum(share, share.T)))
+
+
 @dataclass
 class Index:
     """Centres of the lists and the codewords of each subspace. Its size depends on its settings, not on the table."""
@@ -44,30 +62,32 @@ class Index:
     spaces: list[np.ndarray]
     books: list[np.ndarray]
     reach: float
-    margin: float
+    margins: np.ndarray
 
     @classmethod
-    def fit(cls, sample: np.ndarray, lists: int, subspaces: int, codes: int, reach: float, margin: float) -> Index:
+    def fit(cls, sample: np.ndarray, lists: int, subspaces: int, codes: int, reach: float, margin: float | None) -> Index:
         """Fit on unit vectors."""
         rng = np.random.default_rng(3)
         centres = _lloyd(sample, min(lists, len(sample)), 8, rng)
-        rest = sample - centres[_squares(sample, centres).argmin(1)]
+        home = _squares(sample, centres).argmin(1)
+        rest = sample - centres[home]
         spaces = np.array_split(np.arange(sample.shape[1]), min(subspaces, sample.shape[1]))
         books = [_lloyd(rest[:, s], min(codes, len(rest)), 6, rng) for s in spaces]
-        return cls(centres, spaces, books, reach, margin)
+        margins = np.full((len(centres),) * 2, margin, np.float32) if margin is not None else _margins(centres, rest, home)
+        return cls(centres, spaces, books, reach, margins)
 
     def probes(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Each vector's own list, and which lists with smaller numbers may hold a partner of it.
 
         A partner within ``reach`` that lies in list j is nearer to centre j than to this vector's centre, so the
         plane half way between the two centres is at most ``reach`` away. Lists farther than that cannot matter, and
-        lists whose plane is farther than ``margin`` * ``reach`` are not probed.
+        lists whose plane is farther than ``reach`` times the margin of the two lists are not probed.
         """
         squares = _squares(unit, self.centres)
         home = squares.argmin(1)
         gap = np.sqrt(_squares(self.centres, self.centres))[home]
         ahead = squares - squares[np.arange(len(unit)), home][:, None]
-        visit = ahead <= 2 * gap * (self.margin * self.reach + _SLACK) + _SLACK
+        visit = ahead <= 2 * gap * (self.margins[home] * self.reach + _SLACK) + _SLACK
         visit &= np.arange(len(self.centres))[None, :] < home[:, None]
         return home, visit
 
@@ -115,7 +135,7 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def _links_of(
-    distinct: DataFrame, dim: int, least: float, per_list: int, chunk: int, sample: int, margin: float
+    distinct: DataFrame, dim: int, least: float, per_list: int, chunk: int, sample: int, margin: float | None
 ) -> DataFrame:
     """``(node, links, root)`` parts for vectors of one length: links found in a task, and a node of the same group."""
     spark = distinct.sparkSession
@@ -236,15 +256,15 @@ def near_duplicates(
     per_list: int = 512,
     chunk: int = 8192,
     sample: int = 16384,
-    margin: float = 1.0,
+    margin: float | None = None,
 ) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` for each row of ``vectors``.
 
     Two rows link when the cosine of their vectors, in double precision, is at least ``least``. The index is fitted on
     at most ``sample`` distinct vectors and holds all of them. Coded distances are used less each code's known error,
     and every pair that is left gets its exact cosine, so within the probed lists no link is lost. Lists are probed
-    ``margin`` times as far as a partner can lie: the default of 1 is exact, and less loses links that step along the
-    line between two centres. Equal vectors are one node with a weight. Long lists are dealt to several tasks in chunks.
+    ``margin`` times as far as a partner can lie: 1 is exact. By default each pair of lists has its own margin, four times
+    the usual part of a step along the line between their centres, as far as the sample shows it. Equal vectors are one node with a weight. Long lists are dealt to several tasks in chunks.
 
     A vector that is null, empty, zero, or has a null or non-finite part links with nothing, and neither do vectors of
     different lengths. Each row gives a row, repeated or not. A row without ``vec_id`` counts as a link of others, but
