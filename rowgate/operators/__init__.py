@@ -1,6 +1,6 @@
 """Table operators. Each takes and returns DataFrames; names of columns are arguments."""
 
-from rowgate.operators.audit import constraint_audit
+from rowgate.operators.audit import audit_change, constraint_audit, constraint_counts
 from rowgate.operators.changes import apply_inserts, apply_patch, patch_outcome
 from rowgate.operators.checks import check_email, coerce_types, fill_defaults, validate_rows
 from rowgate.operators.deletes import (
@@ -52,7 +52,9 @@ __all__ = [
     "children_summary",
     "claims_filter",
     "coerce_types",
+    "audit_change",
     "constraint_audit",
+    "constraint_counts",
     "delete_by_key",
     "delete_cascade",
     "delete_detach",

@@ -11,6 +11,9 @@ from rowgate.contracts import Contract
 from rowgate.operators.checks import row_rules
 from rowgate.operators.keys import duplicate_keys
 from rowgate.operators.links import fk_orphans
+from rowgate.storage import cut
+
+_GROUP = ["table_name", "rule", "key"]
 
 
 def _counted(table: str, rule: str, rows: DataFrame) -> DataFrame:
@@ -44,3 +47,75 @@ def constraint_audit(tables: Mapping[str, DataFrame], contracts: Iterable[Contra
             parts.append(_counted(name, f"fk:{link.column}", orphans))
         parts.append(_row_rules(table, contract))
     return reduce(DataFrame.unionByName, parts)
+
+
+def constraint_counts(tables: Mapping[str, DataFrame], contracts: Iterable[Contract], sign: int = 1) -> DataFrame:
+    """What an audit needs to know of rows, as counts that add up: ``(table_name, rule, key, held, used)``.
+
+    ``held`` counts the rows that hold a key, ``used`` those that refer to it; for a field's rule, whose key is empty,
+    ``held`` counts the rows that break it. Rows with a null in a key count for none. ``tables`` may have some of the
+    contracts' tables, as a change set has; with ``sign`` -1 its rows are taken away. Counts are combined before the
+    shuffle, so a hot key is one row per partition.
+    """
+    parts = []
+
+    def add(table: str, rule: str, rows: DataFrame, columns: Iterable[str], held: int, used: int) -> None:
+        key = F.array(*[F.col(c).cast("string") for c in columns])
+        some = rows.dropna(subset=list(columns)).groupBy(key.alias("key")).agg(F.count("*").alias("n"))
+        parts.append(
+            some.select(
+                F.lit(table).alias("table_name"),
+                F.lit(rule).alias("rule"),
+                "key",
+                (F.col("n") * held * sign).alias("held"),
+                (F.col("n") * used * sign).alias("used"),
+            )
+        )
+
+    contracts = {c.name: c for c in contracts}
+    for name, contract in contracts.items():
+        for link in contract.links:
+            if link.parent in tables:
+                add(name, f"fk:{link.column}", tables[link.parent], [contracts[link.parent].key], 1, 0)
+        if name not in tables:
+            continue
+        table = tables[name]
+        add(name, "pk", table, [contract.key], 1, 0)
+        if contract.unique:
+            add(name, f"unique:{','.join(contract.unique)}", table, contract.unique, 1, 0)
+        for link in contract.links:
+            add(name, f"fk:{link.column}", table, [link.column], 0, 1)
+        parts.append(
+            _row_rules(table, contract).select(
+                "table_name",
+                "rule",
+                F.array().cast("array<string>").alias("key"),
+                (F.col("violations") * sign).alias("held"),
+                F.lit(0).cast("long").alias("used"),
+            )
+        )
+    return reduce(DataFrame.unionByName, parts)
+
+
+def audit_change(audit: DataFrame, counts: DataFrame, change: DataFrame) -> DataFrame:
+    """The audit after a change set, from the audit before it, without reading the tables again.
+
+    ``counts`` are the ``constraint_counts`` of the tables before, ``change`` those of the added rows and, with sign -1,
+    of the removed ones. Only keys that the change touches are judged, before and after it. The counts of the tables
+    after are ``counts.unionByName(change)``: they may be stored as they come, one part per change set, and summed by
+    key now and then.
+    """
+    touched = cut(change.groupBy(_GROUP).agg(F.sum("held").alias("held_more"), F.sum("used").alias("used_more")))
+    before = counts.join(touched.select(_GROUP), _GROUP, "left_semi")
+    before = before.groupBy(_GROUP).agg(F.sum("held").alias("held"), F.sum("used").alias("used"))
+    both = touched.join(before, _GROUP, "left").fillna(0, ["held", "used"])
+
+    def broken(held, used):
+        by_key = F.when(F.col("rule").startswith("fk:"), F.when(held <= 0, used).otherwise(0))
+        return by_key.when(F.size("key") > 0, (held > 1).cast("long")).otherwise(held)
+
+    held, used = F.col("held"), F.col("used")
+    more = broken(held + F.col("held_more"), used + F.col("used_more")) - broken(held, used)
+    more = both.groupBy("table_name", "rule").agg(F.sum(more).alias("more"))
+    now = F.col("violations") + F.coalesce("more", F.lit(0))
+    return audit.join(more, ["table_name", "rule"], "left").select("table_name", "rule", now.cast("long").alias("violations"))

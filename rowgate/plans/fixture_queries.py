@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from rowgate.contracts import Contract, Field, Link
 from rowgate.functions.gates import CREATED, FORBIDDEN, INVALID, Gate
 from rowgate.operators import (
+    audit_change,
     Parent,
     Path,
     apply_inserts,
@@ -25,6 +26,7 @@ from rowgate.operators import (
     claims_filter,
     coerce_types,
     constraint_audit,
+    constraint_counts,
     delete_by_key,
     delete_cascade,
     delete_detach,
@@ -55,7 +57,7 @@ from rowgate.operators import (
     validate_rows,
 )
 from rowgate.sources import append_accepted, decode_bodies, project_response, publish_version, read_version, scan_typed
-from rowgate.storage import fresh_dir
+from rowgate.storage import cut, fresh_dir
 from rowgate.streaming import InsertRules, drain, stream_apply, stream_compact, stream_fk_check
 
 col = F.col
@@ -622,11 +624,46 @@ def q_login_outcome(spark: SparkSession, sf: str) -> DataFrame:
 # Audit
 
 
-def q_constraint_audit(spark: SparkSession, sf: str) -> DataFrame:
+_AUDITED = [CUSTOMER, ORDERS, PART, LINEITEM, EVENTS]
+
+
+def _audited(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     tables = {n: _table(spark, sf, n) for n in ("customer", "orders", "part", "lineitem", "events")}
     tables["lineitem"] = tables["lineitem"].withColumn("menu_id", col("l_partkey") + 100)
     tables["events"] = tables["events"].withColumn("event_id", F.when(col("value") >= 5, col("event_id")))
-    return constraint_audit(tables, [CUSTOMER, ORDERS, PART, LINEITEM, EVENTS])
+    return tables
+
+
+def q_constraint_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return constraint_audit(_audited(spark, sf), _AUDITED)
+
+
+def q_audit_change(spark: SparkSession, sf: str) -> DataFrame:
+    """The audit is carried over two change sets made from the events: customers go and parts come, then orders go and lines come."""
+    tables = _audited(spark, sf)
+    events = _table(spark, sf, "events")
+    brand = [col("event_type").alias("p_brand"), _text("Part#", col("user_id").cast("string")).alias("p_name")]
+    parts = events.select(col("event_id").alias("p_partkey"), *brand)
+    lines = events.select(
+        (col("event_id") * 2).alias("l_orderkey"),
+        F.lit(1).alias("l_linenumber"),
+        col("value").alias("l_quantity"),
+        col("user_id").alias("menu_id"),
+    )
+    gone = events.select(col("user_id").alias("c_custkey"))
+    closed = events.select((col("event_id") * 2).alias("o_orderkey"))
+    sets = [
+        ({"customer": tables["customer"].join(gone, "c_custkey", "left_semi")}, {"part": parts}),
+        ({"orders": tables["orders"].join(closed, "o_orderkey", "left_semi")}, {"lineitem": lines}),
+    ]
+    audit = cut(constraint_audit(tables, _AUDITED))
+    counts = cut(constraint_counts(tables, _AUDITED))
+    for removed, added in sets:
+        change = constraint_counts(added, _AUDITED).unionByName(constraint_counts(removed, _AUDITED, sign=-1))
+        change = cut(change)
+        audit = cut(audit_change(audit, counts, change))
+        counts = counts.unionByName(change)
+    return audit
 
 
 # Streams
@@ -731,6 +768,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "claims_filter": q_claims_filter,
         "login_outcome": q_login_outcome,
         "constraint_audit": q_constraint_audit,
+        "audit_change": q_audit_change,
         "stream_fk_check": q_stream_fk_check,
         "stream_apply": q_stream_apply,
         "stream_compact": q_stream_compact,
