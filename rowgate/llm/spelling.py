@@ -237,11 +237,12 @@ def _group(rows: list[tuple[str, str, int]], last: str) -> Iterator[tuple[str, i
     for pair in near_pairs([m for _, m, _ in rows], part == last, int(size) - len(before) - len(after)):
         for word, other in (pair, pair[::-1]):
             near[word] = near.get(word, 0) + 1
-            rank = (-count[other], other)
+            # What follows counts too: of "ab" and "abb", before "a", the longer word is the lesser.
+            rank = (-count[other], other + after)
             best[word] = min(best.get(word, rank), rank)
     for word, n in near.items():
-        most, other = best[word]
-        yield before + word + after, n, -most, before + other + after
+        most, rest = best[word]
+        yield before + word + after, n, -most, before + rest
 
 
 def near_words(words: DataFrame, parts: int = 3) -> DataFrame:

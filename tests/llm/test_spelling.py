@@ -89,6 +89,28 @@ def test_near_words_for_any_number_of_parts(spark, parts):
     assert {r.word: (r.n_near, r.best_n, r.best) for r in got.collect()} == want
 
 
+def test_ties_are_broken_by_whole_words(spark):
+    # They meet as ba, bb and bba between xx and zz: xxbbazz is less than xxbbzz is, though bb is less than bba.
+    words = {"xxbazz": 1, "xxbbzz": 4, "xxbbazz": 4}
+    got = spelling.near_words(spark.createDataFrame(list(words.items()), "word string, n bigint"))
+    assert {r.word: r.best for r in got.collect()}["xxbazz"] == "xxbbazz"
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_near_words_of_equal_counts(spark, seed):
+    pick = random.Random(seed)
+    words = sorted({"".join(pick.choice("abz") for _ in range(pick.randrange(5, 8))) for _ in range(250)})
+    words = {w: pick.choice([1, 2]) for w in words}
+    got = spelling.near_words(spark.createDataFrame(list(words.items()), "word string, n bigint"))
+    want = {}
+    for w in words:
+        near = [v for v in words if one_edit(w, v)]
+        if near:
+            best = min(near, key=lambda v: (-words[v], v))
+            want[w] = (len(near), words[best], best)
+    assert {r.word: (r.n_near, r.best_n, r.best) for r in got.collect()} == want
+
+
 def test_acceptor_is_minimal_and_pairs_come_once():
     pick = random.Random(4)
     for _ in range(200):
