@@ -8,6 +8,7 @@ from decimal import Decimal
 import pytest
 
 from rowgate.contracts import CASCADE, RESTRICT, SET_NULL
+from rowgate.operators import waves as waves_module
 from rowgate.plans.booking import ADMIN_TABLES, CONTRACTS, NULL_PARENT_CHECKED
 from rowgate.plans import fixture_log
 from rowgate.plans.log import apply_log, log_batch, log_tables, stream_log
@@ -271,6 +272,45 @@ def test_rows_put_under_deleted_ones(spark):
     assert [want[i] for i in (7, 9, 10, 11)] == [409, 409, 204, 204]
 
 
+def test_keys_given_up_in_between(spark):
+    """A key that a row takes and gives up again is free for those after it, and one still held is not for those before."""
+    steps = [
+        ("update", "tables", ADMIN, 1, {"table_number": 9}),
+        ("update", "tables", ADMIN, 1, {"table_number": 8}),
+        ("update", "tables", ADMIN, 2, {"table_number": 9}),  # both are of restaurant 1
+        ("update", "menus", ADMIN, 1, {"dish_name": "a"}),
+        ("delete", "menus", ADMIN, 2, None),
+        ("create", "menus", ADMIN, None, menu("a")),
+        ("update", "menus", ADMIN, 3, {"dish_name": "b"}),
+        ("update", "menus", ADMIN, 3, {"dish_name": "d1"}),  # menu 4 has it until it goes
+        ("delete", "menus", ADMIN, 4, None),
+        ("update", "menus", ADMIN, 3, {"dish_name": "d1"}),
+        ("update", "menus", ADMIN, 5, {"dish_name": "c"}),
+        ("delete", "menus", ADMIN, 5, None),
+        ("create", "menus", ADMIN, None, menu("c", 2)),
+    ]
+    _, _, want = check(spark, start(), [(i, *step) for i, step in enumerate(steps, 1)])
+    assert [want[i] for i in (3, 6, 8, 10, 13)] == [200, 409, 409, 200, 201]
+
+
+def test_rows_that_send_one_part_of_a_key_make_no_chain(spark, monkeypatch):
+    """Updates of different restaurants' tables to the same few numbers wait for their own row only; also where a row was
+    sent so many restaurants that its updates claim the number."""
+    given = start()
+    given["restaurants"] = [(i, f"r{i}", 1, 1) for i in range(1, 41)]
+    given["tables"] = [(i, 1, 1, i) for i in range(1, 21)]
+    given["orders"], given["reservations"] = [], []
+    steps = [("update", "tables", ADMIN, i, {"table_number": n}) for n in (2, 3) for i in range(1, 21)]
+    waves, blocked = [], waves_module._blocked
+    monkeypatch.setattr(waves_module, "_blocked", lambda *of: waves.append(1) or blocked(*of))
+    check(spark, given, [(i, *step) for i, step in enumerate(steps, 1)])
+    assert len(waves) == 2
+    monkeypatch.setattr(waves_module, "MOST_KEYS", 1)
+    steps = [("update", "tables", ADMIN, 1, part) for part in ({"restaurant_id": 2}, {"table_number": 5}, {"restaurant_id": 3}, {"table_number": 6})]
+    steps += [("delete", "tables", ADMIN, 3, None), ("create", "tables", ADMIN, None, {"table_number": 6, "table_status": 1, "restaurant_id": 3})]
+    check(spark, given, [(i, *step) for i, step in enumerate(steps, 1)])
+
+
 def test_empty_and_unserved_logs(spark):
     given = frames(spark, start())
     none = apply_log(spark.createDataFrame([], LOG), given, {"menus": 9})
