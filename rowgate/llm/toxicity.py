@@ -17,6 +17,8 @@ from rowgate.storage import cut
 #: Bytes in an n-gram of the highest order: the byte itself and those before it in its word, zeros before the word.
 ORDER = 6
 DISCOUNT = 0.75
+#: About so many n-grams of words meet the table at a time: tens of megabytes in a task.
+GRAMS = 1 << 19
 _END = 0x20
 
 
@@ -81,17 +83,35 @@ def _count(words: DataFrame) -> DataFrame:
     return rows.groupBy("gram").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"))
 
 
-def _spread(words: DataFrame) -> DataFrame:
-    """``(hash, gram)`` of every byte of every word and its end."""
+def _scored(words: DataFrame, table: DataFrame, per_block: int) -> DataFrame:
+    """``(hash, ratio)`` of every word: the mean ratio in ``table`` of its n-grams of the highest order.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, off = joined(batch.column(0))
-            gram, owner = grams(data, off[:-1], off[1:])
-            value = Hashes(data).of(off[:-1], off[1:]).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(value[owner]), pa.array(gram)], names=["hash", "gram"])
+    Words are dealt by hash to blocks of about ``per_block`` n-grams. A block asks the table once for each n-gram, not
+    once for each place of it, and sums the answers by word.
+    """
+    size = words.agg(F.sum(F.octet_length("word") + 1)).head()[0] or 1
+    block = F.pmod(F.xxhash64("word"), F.lit(-(-size // per_block))).alias("block")
+    words = words.select(block, "word")
+
+    def of(rows: pa.Table) -> tuple[np.ndarray, ...]:
+        data, off = joined(rows.column("word").combine_chunks())
+        return data, off, *grams(data, off[:-1], off[1:])
+
+    def asked(rows: pa.Table) -> pa.Table:
+        gram = np.unique(of(rows)[2])
+        return pa.table({"block": np.full(len(gram), rows.column("block")[0].as_py()), "gram": gram})
+
+    def scored(rows: pa.Table, found: pa.Table) -> pa.Table:
+        data, off, gram, owner = of(rows)
+        found = found.sort_by("gram")
+        ratio = found.column("ratio").to_numpy()[np.searchsorted(found.column("gram").to_numpy(), gram)]
+        value = Hashes(data).of(off[:-1], off[1:]).view(np.int64)
+        mean = np.bincount(owner, ratio, len(value)) / np.bincount(owner, minlength=len(value))
+        return pa.table({"hash": value, "ratio": mean})
 
-    return words.select("word").mapInArrow(run, "hash long, gram long")
+    found = words.groupBy("block").applyInArrow(asked, "block long, gram long").join(table, "gram")
+    found = found.select("block", "gram", "ratio").groupBy("block")
+    return words.groupBy("block").cogroup(found).applyInArrow(scored, "hash long, ratio double")
 
 
 def _kept(count: str) -> F.Column:
@@ -143,8 +163,7 @@ def fit(docs: DataFrame) -> DataFrame:
         found = (_kept(kind) + F.col(f"{kind}_mass") * F.col("chance")) / F.col(f"{kind}_n")
         logs.append(F.log(F.when(F.col(f"{kind}_n") > 0, found).otherwise(F.col("chance"))))
     table = cut(rows.select("gram", (logs[0] - logs[1]).alias("ratio")))
-    joint = _spread(words).join(table, "gram").select("hash", "ratio")
-    return cut(joint.groupBy("hash").agg(F.avg("ratio").alias("ratio")))
+    return cut(_scored(words, table, GRAMS))
 
 
 def dealt(table: DataFrame, per_block: int) -> list[Broadcast]:

@@ -6,6 +6,8 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from rowgate.llm import toxicity
 
@@ -67,3 +69,43 @@ def test_every_gram_has_counts_of_its_own(spark, per_block):
     logit = np.log(score / (1 - score))
     slope, offset = np.polyfit(right, logit, 1)
     assert slope > 0 and np.abs(slope * right + offset - logit).max() < 1e-6 * np.ptp(logit)
+
+
+def test_each_block_of_words_asks_once_for_an_ngram(spark):
+    random.seed(9)
+    given = sorted({"".join(random.choices(["la", "tion", "ment", "é", "er", "s"], k=random.randint(1, 7))) for _ in range(3000)})
+    words = spark.createDataFrame([(w, 1, 1) for w in given], "word string, ordinary long, toxic long")
+    counts = toxicity._count(words).select("gram", (F.col("ordinary") / 7).alias("ratio"))
+    table = {r.gram: r.ratio for r in counts.collect()}
+    data = [w.encode() for w in given]
+    off = np.cumsum([0, *map(len, data)])
+    flat = np.frombuffer(b"".join(data), np.uint8)
+    gram, owner = toxicity.grams(flat, off[:-1], off[1:])
+    want = collections.defaultdict(list)
+    for g, w in zip(gram.tolist(), owner.tolist()):
+        want[w].append(table[g])
+    hashes = toxicity.Hashes(flat).of(off[:-1], off[1:]).view(np.int64)
+    want = {h: np.mean(want[i]) for i, h in enumerate(hashes.tolist())}
+    for per_block in (1 << 19, 5000):
+        scored = toxicity._scored(words, counts, per_block)
+        got = {r.hash: r.ratio for r in scored.collect()}
+        assert got.keys() == want.keys() and max(abs(got[h] - want[h]) for h in want) < 1e-9
+    assert toxicity._scored(words.limit(0), counts, 5000).count() == 0
+
+
+def test_words_meet_the_table_with_fewer_rows_than_places(spark, monkeypatch):
+    """What crosses to the table of n-grams and back is one row per block and n-gram."""
+    rows = []
+    real = DataFrame.join
+
+    def join(self, other, on=None, how=None):
+        if on == "gram" and "ratio" in other.columns:
+            rows.append(self.count())
+        return real(self, other, on, how) if how else real(self, other, on)
+
+    monkeypatch.setattr(DataFrame, "join", join)
+    random.seed(10)
+    docs = [(i, " ".join("".join(random.choices(["la", "tion", "ment", "er", "s"], k=5)) for _ in range(40))) for i in range(60)]
+    docs = spark.createDataFrame(docs, "doc_id long, text string").withColumn("toxic", (F.col("doc_id") % 2).cast("int"))
+    assert toxicity.fit(docs).count() > 1000
+    assert len(rows) == 1 and rows[0] < 1500
