@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import io
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,16 +15,18 @@ from rowgate.llm.text import Hashes, joined, mix, slices, tokens
 #: Hashed n-grams; the size of the model.
 BITS = 20
 COST = 1.0
+#: N-grams of the training rows that are worked on at once.
+_BLOCK = 1 << 20
 _AGAIN = np.uint64(1)
 
 
-def indicators(column: pa.Array, bits: int = BITS) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def indicators(column: pa.Array, bits: int = BITS, limit: int = 1 << 19) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, row of each indicator, its number) for runs of texts; each n-gram of a text once, rows ascending.
 
     Tokens are lower-case words and runs of other signs; n-grams are tokens, pairs of neighbours, and a mark of its own
     where a token repeats the one before.
     """
-    for first, texts in slices(column):
+    for first, texts in slices(column, limit):
         data, off = joined(texts, lower=True)
         start, end, _ = tokens(data, off)
         single = Hashes(data).of(start, end)
@@ -39,28 +40,53 @@ def indicators(column: pa.Array, bits: int = BITS) -> Iterator[tuple[int, np.nda
         yield first, (both >> np.uint64(bits)).astype(np.int64), (both & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
-def log_ratios(flat: np.ndarray, row: np.ndarray, label: np.ndarray, size: int, prior: float = 1.0) -> np.ndarray:
-    """log of each indicator's smoothed share among the good documents' indicators over that among the bad ones'."""
-    good = np.bincount(flat[label[row] > 0], minlength=size) + prior
-    bad = np.bincount(flat[label[row] <= 0], minlength=size) + prior
+def _blocks(off: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Runs of rows, first and last plus one, of at most ``_BLOCK`` n-grams, or of one row that has more."""
+    start = 0
+    while start < len(off) - 1:
+        stop = max(start + 1, int(np.searchsorted(off, off[start] + _BLOCK, "right")) - 1)
+        yield start, stop
+        start = stop
+
+
+def log_ratios(flat: np.ndarray, off: np.ndarray, good: np.ndarray, bad: np.ndarray, size: int, prior: float = 1.0) -> np.ndarray:
+    """log of each indicator's smoothed share among the rows marked ``good`` over that among the rows marked ``bad``."""
+    counts = []
+    for chosen in (good, bad):
+        count = np.zeros(size)
+        for a, b in _blocks(off):
+            count += np.bincount(flat[off[a] : off[b]][np.repeat(chosen[a:b], np.diff(off[a : b + 1]))], minlength=size)
+        counts.append(count + prior)
+    good, bad = counts
     seen = (good + bad) > 2 * prior
     return np.where(seen, np.log(good / good.sum()) - np.log(bad / bad.sum()), 0.0)
 
 
+def _row_sums(flat: np.ndarray, off: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """The sum over each row of the values of its n-grams."""
+    sums = [np.zeros(0)]
+    for a, b in _blocks(off):
+        row = np.repeat(np.arange(b - a), np.diff(off[a : b + 1]))
+        sums.append(np.bincount(row, value[flat[off[a] : off[b]]], b - a))
+    return np.concatenate(sums)
+
+
 def dual_descent(
-    flat: np.ndarray, off: np.ndarray, label: np.ndarray, scale: np.ndarray, cost: float, rounds: int = 12
+    rows: Sequence[np.ndarray], label: np.ndarray, scale: np.ndarray, cost: float, rounds: int = 12
 ) -> tuple[np.ndarray, float]:
-    """Weights and bias of the hinge-loss machine with cost ``cost`` a row, one dual variable at a time."""
+    """Weights and bias of the hinge-loss machine with cost ``cost`` a row, one dual variable at a time.
+
+    The values of a row are looked up at each visit, as keeping those of all rows takes more memory than the rows do.
+    """
     weight, bias = np.zeros(len(scale)), 0.0
     alpha = np.zeros(len(label))
-    rows = [flat[a:b] for a, b in zip(off[:-1], off[1:], strict=True)]
-    values = [scale[r] for r in rows]
-    square = np.array([v @ v for v in values]) + 1.0
+    square = np.array([(x := scale[at]) @ x for at in rows]) + 1.0
     rng = np.random.default_rng(5)
     for _ in range(rounds):
         moved = 0.0
         for i in rng.permutation(len(label)):
-            at, x, y = rows[i], values[i], label[i]
+            at, y = rows[i], label[i]
+            x = scale[at]
             slope = y * (weight[at] @ x + bias) - 1
             new = min(max(alpha[i] - slope / square[i], 0.0), cost)
             step = (new - alpha[i]) * y
@@ -96,20 +122,18 @@ def train(flat: np.ndarray, off: np.ndarray, quality: np.ndarray, size: int = 1
     A fifth of the rows is kept from the machine and fits the slope that turns its margins into likelihoods.
     """
     label = np.where(quality > 0, 1.0, -1.0)
-    row = np.repeat(np.arange(len(label)), np.diff(off))
     check = np.arange(len(label)) % 5 == 4
     if len(np.unique(label[~check])) < 2 or len(np.unique(label[check])) < 2:
         share = (np.sum(label > 0) + 1) / (len(label) + 2)
         return np.zeros(size), float(np.log(share / (1 - share)))
-    inside = ~check[row]
-    ratio = log_ratios(flat[inside], row[inside], label, size)
-    norm = np.sqrt(np.bincount(row, ratio[flat] ** 2, len(label)))
+    ratio = log_ratios(flat, off, ~check & (label > 0), ~check & (label <= 0), size)
+    norm = np.sqrt(_row_sums(flat, off, ratio**2))
     keep = np.flatnonzero(~check & (norm > 0))
-    spans = np.diff(off)[keep]
-    part = np.concatenate([flat[off[i] : off[i + 1]] for i in keep.tolist()])
-    weight, bias = dual_descent(part, np.append(0, np.cumsum(spans)), label[keep], ratio / np.median(norm[keep]), COST)
+    rows = [flat[off[i] : off[i + 1]] for i in keep.tolist()]
+    scale = ratio / np.median(norm[keep])
+    weight, bias = dual_descent(rows, label[keep], scale, COST)
     value = weight * ratio / np.median(norm[keep])
-    margin = np.bincount(row, value[flat], len(label)) + bias
+    margin = _row_sums(flat, off, value) + bias
     slope, offset = logistic(margin[check], (label[check] > 0).astype(float))
     return slope * value, slope * bias + offset
 
@@ -138,26 +162,32 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = 12000) -> tuple[np.ndarr
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for first, row, number in indicators(batch.column(1)):
+            for first, texts in slices(batch.column(1)):
+                found = [(row + at, number.astype(np.int32)) for at, row, number in indicators(texts)]
+                row, number = (np.concatenate(x) for x in zip(*found, strict=True))
                 part = batch.slice(first, int(row[-1]) + 1 if len(row) else 0)
                 count = np.bincount(row, minlength=part.num_rows)
                 off = pa.array(np.append(0, np.cumsum(count)).astype(np.int32))
-                lists = pa.ListArray.from_arrays(off, pa.array(number.astype(np.int32)))
+                lists = pa.ListArray.from_arrays(off, pa.array(number))
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), lists], names=["doc", "quality", "seen"])
 
-    def learn(all_rows: pd.DataFrame) -> pd.DataFrame:
-        all_rows = all_rows.sort_values("doc", kind="stable").drop_duplicates("doc")
-        order = mix(all_rows["doc"].to_numpy().view(np.uint64)).argsort(kind="stable")
-        all_rows = all_rows.iloc[order]
-        count = all_rows["seen"].map(len).to_numpy()
-        flat = np.concatenate([np.zeros(0, np.int64), *all_rows["seen"]]).astype(np.int64)
-        weight, bias = train(flat, np.append(0, np.cumsum(count)), all_rows["quality"].to_numpy())
+    def learn(found: pa.Table) -> pa.Table:
+        doc = found.column("doc").to_numpy()
+        _, first = np.unique(doc, return_index=True)
+        order = first[mix(doc[first].view(np.uint64)).argsort(kind="stable")]
+        rows = []
+        for part in found.column("seen").chunks:
+            off, number = part.offsets.to_numpy(), part.values.to_numpy()
+            rows += [number[a:b] for a, b in zip(off[:-1], off[1:], strict=True)]
+        rows = [rows[i] for i in order.tolist()]
+        off = np.append(0, np.cumsum([len(r) for r in rows]))
+        weight, bias = train(np.concatenate(rows), off, found.column("quality").to_numpy()[order])
         file = io.BytesIO()
         np.save(file, np.append(weight, bias).astype(np.float32))
-        return pd.DataFrame({"model": [file.getvalue()]})
+        return pa.table({"model": pa.array([file.getvalue()], pa.binary())})
 
     seen = known.select("_doc", "_text", "_quality").mapInArrow(read, "doc long, quality int, seen array<int>")
-    found = seen.groupBy(F.lit(0).alias("all")).applyInPandas(learn, "model binary").collect()
+    found = seen.groupBy(F.lit(0).alias("all")).applyInArrow(learn, "model binary").collect()
     if not found:
         return np.zeros(1 << BITS, np.float32), 0.0
     model = np.load(io.BytesIO(found[0]["model"]))

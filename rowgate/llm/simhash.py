@@ -64,7 +64,7 @@ def _majority(h: np.ndarray, per: np.ndarray) -> np.ndarray:
 def fingerprints_of(column: pa.Array, words: int = 3, seed: int = 42) -> np.ndarray:
     """One 64-bit fingerprint for each text of an Arrow column."""
     out = np.zeros(len(column), np.uint64)
-    for first, part in slices(column):
+    for first, part in slices(column, 1 << 19):  # the bits of a slice take many times its bytes
         out[first : first + len(part)] = _majority(*_shingles(part, words, seed))
     return out
 

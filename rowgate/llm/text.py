@@ -38,9 +38,12 @@ def _power(base: int, n: int) -> np.ndarray:
 
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread every bit of 64-bit values over all bits."""
-    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return h ^ (h >> np.uint64(31))
+    h = h ^ (h >> np.uint64(30))
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(27)
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(31)
+    return h
 
 
 def unused(columns: Iterable[str], name: str) -> str:
@@ -56,7 +59,11 @@ class Hashes:
 
     def __init__(self, data: np.ndarray):
         self._sum = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _power(_BASE, len(data)), out=self._sum[1:])
+        # In place, as each array here is eight times the text.
+        own = self._sum[1:]
+        np.add(data, np.uint64(1), out=own, dtype=np.uint64)
+        own *= _power(_BASE, len(data))
+        np.cumsum(own, out=own)
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         down = _power(_INVERSE, len(self._sum))
@@ -65,7 +72,11 @@ class Hashes:
     def rolling(self, width: int) -> np.ndarray:
         """The hash of the ``width`` bytes from each place on."""
         n = max(0, len(self._sum) - width)
-        return mix((self._sum[width:] - self._sum[:n]) * _power(_INVERSE, n)) if n else np.zeros(0, np.uint64)
+        if not n:
+            return np.zeros(0, np.uint64)
+        h = self._sum[width:] - self._sum[:n]
+        h *= _power(_INVERSE, n)
+        return mix(h)
 
 
 def slices(column: pa.Array, limit: int = 1 << 21) -> Iterator[tuple[int, pa.Array]]:

@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -208,6 +209,30 @@ def test_machine_separates():
     assert all((weight[r].sum() + bias > 0) == y for r, y in zip(rows, label, strict=True))
 
 
+def test_training_takes_less_memory_than_three_times_its_rows():
+    rng = np.random.default_rng(2)
+    flat = rng.integers(0, 1024, 4_000_000).astype(np.int32)
+    off, label = np.arange(0, len(flat) + 1, 2000), np.arange(2000) % 3 % 2
+    tracemalloc.start()
+    quality.train(flat, off, label, 1024)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 3 * flat.nbytes
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 9), max_size=6), max_size=12), st.integers(1, 9))
+def test_blocks_of_rows_are_all_rows(rows, block):
+    flat = np.array([x for r in rows for x in r], np.int32)
+    off, value = np.append(0, np.cumsum([len(r) for r in rows], dtype=np.int64)), np.arange(10) / 7
+    whole = quality._BLOCK
+    quality._BLOCK = block
+    try:
+        assert quality._row_sums(flat, off, value).tolist() == pytest.approx([value[r].sum() for r in map(np.int64, rows)])
+    finally:
+        quality._BLOCK = whole
+
+
 def test_grams_stay_in_their_word():
     data = np.frombuffer(b"ab abcdefg", np.uint8)
     gram, owner = toxicity.grams(data, np.array([0, 3]), np.array([2, 10]))
