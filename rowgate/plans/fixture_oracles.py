@@ -341,6 +341,56 @@ def oracle_sql() -> dict[str, str]:
             union all select 'events', 'event_type:missing', count(*) from events where event_type is null
             union all select 'events', 'value:missing', count(*) from events where value is null
             union all select 'events', 'props:missing', count(*) from events where props is null""",
+        # The audit of the tables as both change sets leave them.
+        "audit_change": """
+            with customer_left as (
+              select * from customer c where not exists (select 1 from events e where e.user_id = c.c_custkey)
+            ), orders_left as (
+              select * from orders o where not exists (select 1 from events e where e.event_id * 2 = o.o_orderkey)
+            ), part_more as (
+              select p_partkey, p_brand, p_name from part
+              union all select event_id, event_type, 'Part#' || user_id from events
+            ), lineitem_more as (
+              select l_orderkey, l_linenumber, l_quantity, l_partkey + 100 as menu_id from lineitem
+              union all select event_id * 2, 1, value, user_id from events
+            )
+            select 'customer' as table_name, 'pk' as rule, count(*) as violations
+              from (select 1 from customer_left group by c_custkey having count(*) > 1)
+            union all select 'customer', 'c_custkey:missing', count(*) from customer_left where c_custkey is null
+            union all select 'customer', 'c_name:missing', count(*) from customer_left where c_name is null
+            union all select 'customer', 'c_nationkey:missing', count(*) from customer_left where c_nationkey is null
+            union all select 'customer', 'c_nationkey:range', count(*) from customer_left where c_nationkey not between 0 and 20
+            union all select 'customer', 'c_acctbal:missing', count(*) from customer_left where c_acctbal is null
+            union all select 'customer', 'c_acctbal:gt', count(*) from customer_left where not c_acctbal > 0
+            union all select 'customer', 'c_mktsegment:missing', count(*) from customer_left where c_mktsegment is null
+            union all select 'customer', 'c_mktsegment:max_length', count(*) from customer_left where length(c_mktsegment) > 8
+            union all select 'orders', 'pk', count(*) from (select 1 from orders_left group by o_orderkey having count(*) > 1)
+            union all select 'orders', 'fk:o_custkey', count(*) from orders_left o
+              where not exists (select 1 from customer_left c where c.c_custkey = o.o_custkey)
+            union all select 'orders', 'o_orderkey:missing', count(*) from orders_left where o_orderkey is null
+            union all select 'orders', 'o_custkey:missing', count(*) from orders_left where o_custkey is null
+            union all select 'orders', 'o_orderpriority:missing', count(*) from orders_left where o_orderpriority is null
+            union all select 'part', 'pk', count(*) from (select 1 from part_more group by p_partkey having count(*) > 1)
+            union all select 'part', 'p_partkey:missing', count(*) from part_more where p_partkey is null
+            union all select 'part', 'unique:p_brand,p_name', count(*)
+              from (select 1 from part_more group by p_brand, p_name having count(*) > 1)
+            union all select 'lineitem', 'pk', count(*)
+              from (select 1 from lineitem_more group by l_orderkey having count(*) > 1)
+            union all select 'lineitem', 'unique:l_orderkey,l_linenumber', count(*)
+              from (select 1 from lineitem_more group by l_orderkey, l_linenumber having count(*) > 1)
+            union all select 'lineitem', 'fk:menu_id', count(*) from lineitem_more l
+              where not exists (select 1 from part_more p where p.p_partkey = l.menu_id)
+            union all select 'lineitem', 'l_orderkey:missing', count(*) from lineitem_more where l_orderkey is null
+            union all select 'lineitem', 'l_quantity:missing', count(*) from lineitem_more where l_quantity is null
+            union all select 'lineitem', 'l_quantity:gt', count(*) from lineitem_more where not l_quantity > 1
+            union all select 'events', 'pk', count(*)
+              from (select 1 from events where value >= 5 group by event_id having count(*) > 1)
+            union all select 'events', 'event_id:missing', count(*) from events where not coalesce(value >= 5, false)
+            union all select 'events', 'ts:missing', count(*) from events where ts is null
+            union all select 'events', 'user_id:missing', count(*) from events where user_id is null
+            union all select 'events', 'event_type:missing', count(*) from events where event_type is null
+            union all select 'events', 'value:missing', count(*) from events where value is null
+            union all select 'events', 'props:missing', count(*) from events where props is null""",
         "stream_fk_check": _FK_CHECK,
         "stream_apply": _APPLY_INSERTS,
         "stream_compact": _APPLY_INSERTS,
