@@ -83,10 +83,12 @@ def fingerprints(docs: DataFrame, version: Column | None = None, words: int = 3)
     return rows.mapInArrow(run, "doc_id long, version long, bits long")
 
 
-# Vantage-point trees. The 64 bits are two halves: two fingerprints with at most three differing bits have a half with
-# at most one. Each half has a tree of its own, with the distance in that half as its metric and a reach of one bit.
+# Vantage-point trees. A tree has the distance in a part of the 64 bits as its metric. Two fingerprints with at most three
+# differing bits have a half with at most one, and a quarter with none. With a reach of one bit, points near a boundary
+# visit both sides at each split, so that visits grow with the depth; with a reach of none no point visits twice.
 
 _HALF = (np.uint64(0xFFFFFFFF), np.uint64(0xFFFFFFFF00000000))
+_QUARTER = tuple(np.uint64(0xFFFF << 16 * place) for place in range(4))
 
 
 def _apart(a: np.ndarray, b: np.uint64, mask: np.uint64) -> np.ndarray:
@@ -161,10 +163,12 @@ def _stars(points: np.ndarray, here: np.ndarray, most: int, block: int = 1024) -
     return here[linked], here[label[linked]]
 
 
-def search(points: np.ndarray, home: np.ndarray, mask: np.uint64, most: int = 3, leaf: int = 192) -> Iterator[tuple]:
+def search(
+    points: np.ndarray, home: np.ndarray, mask: np.uint64, most: int = 3, leaf: int = 192, near: int = 1
+) -> Iterator[tuple]:
     """Stars that connect all points of a shard with a partner at home in it, through a tree grown in place.
 
-    A node splits by the metric of its half (reach 1), or by all bits (reach ``most``) where that serves better. It
+    A node splits by the metric of its part (reach ``near``), or by all bits (reach ``most``) where that serves better. It
     becomes a leaf, compared in blocks, when it is small or when so many points would go both ways that splitting
     costs more than comparing.
     """
@@ -177,7 +181,7 @@ def search(points: np.ndarray, home: np.ndarray, mask: np.uint64, most: int = 3,
             continue
         best = None
         if len(here) > leaf:
-            for metric, reach in ((mask, 1), (every, most)):
+            for metric, reach in ((mask, near), (every, most)):
                 vantage = points[here[rng.integers(len(here))]]
                 apart = _apart(points[here], vantage, metric)
                 radius = int(np.partition(apart, len(apart) // 2)[len(apart) // 2])
@@ -196,34 +200,37 @@ def search(points: np.ndarray, home: np.ndarray, mask: np.uint64, most: int = 3,
 def links(prints: DataFrame, per_shard: int = 2048, most_shards: int = 4096, sample_per_shard: int = 16) -> DataFrame:
     """Edges ``(u, v)`` that connect all distinct ``bits`` with three or fewer differing bits.
 
-    A tree of at most ``most_shards`` leaves, grown on a bounded sample of the distinct fingerprints, deals them to
-    shards; one within reach of a boundary also visits the shard across. Each shard is searched by a tree of its own.
-    Only stars are returned, never all pairs of a group, but no link between two groups is lost.
+    Each quarter of the bits has a tree of at most ``most_shards`` leaves, grown on a bounded sample of the distinct
+    fingerprints. Linked ones are equal in a quarter and so in one leaf of its tree: every fingerprint goes to four
+    shards, however many there are. Each shard is searched by a tree of its own. Only stars are returned, never all pairs
+    of a group, but no link between two groups is lost.
     """
     total = prints.count()
     shards = max(1, min(most_shards, -(-total // per_shard)))
     sample = prints.select("bits").orderBy(F.xxhash64("bits"), "bits").limit(shards * sample_per_shard)
     points = np.array([row[0] for row in sample.collect()], np.int64).view(np.uint64)
-    trees = [grow(points, shards, mask) for mask in _HALF]
+    # The leaf of every value of a quarter: tasks look it up, and do not walk the trees again for each batch.
+    leaves = np.zeros((4, 1 << 16), np.int32)
+    for place, mask in enumerate(_QUARTER):
+        values = np.arange(1 << 16, dtype=np.uint64) << np.uint64(16 * place)
+        for number, here, _ in route(grow(points, shards, mask), values, mask, reach=0):
+            leaves[place, here] = number
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             bits = batch.column(0).to_numpy()
-            for half, (nodes, mask) in enumerate(zip(trees, _HALF, strict=True)):
-                for number, here, home in route(nodes, bits.view(np.uint64), mask):
-                    shard = np.full(len(here), 2 * number + half, np.int64)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(shard), pa.array(bits[here]), pa.array(home)], names=["shard", "bits", "home"]
-                    )
+            quarters = bits.astype("<i8").view("<u2").reshape(-1, 4)
+            shard = np.concatenate([4 * leaves[place][quarters[:, place]].astype(np.int64) + place for place in range(4)])
+            yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(np.tile(bits, 4))], names=["shard", "bits"])
 
     def join(shard: pd.DataFrame) -> pd.DataFrame:
         bits = shard["bits"].to_numpy()
-        mask = _HALF[int(shard["shard"].iloc[0]) % 2]
-        found = list(search(bits.view(np.uint64), shard["home"].to_numpy(), mask))
+        mask = _QUARTER[int(shard["shard"].iloc[0]) % 4]
+        found = list(search(bits.view(np.uint64), np.ones(len(bits), bool), mask, near=0))
         u, v = (np.concatenate([np.zeros(0, np.int64), *side]) for side in (zip(*found, strict=True) if found else ((), ())))
         return pd.DataFrame({"u": bits[u], "v": bits[v]}).drop_duplicates()
 
-    dealt = prints.select("bits").mapInArrow(deal, "shard long, bits long, home boolean")
+    dealt = prints.select("bits").mapInArrow(deal, "shard long, bits long")
     return dealt.groupBy("shard").applyInPandas(join, "u long, v long")
 
 

@@ -93,6 +93,24 @@ def test_one_group_of_near_copies(spark):
     assert [r.component_id for r in got] == [ids[label == c].min() for c in label]
 
 
+def test_fingerprints_go_to_four_shards_however_many_there_are(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    points = rng.integers(0, 1 << 63, 1500, dtype=np.uint64)
+    near = [p ^ np.uint64(sum(1 << int(b) for b in rng.choice(64, k, replace=False))) for k in (1, 3, 4) for p in points[:200]]
+    points = np.unique(np.append(points, np.array(near, np.uint64)))
+    prints = spark.createDataFrame([(int(p),) for p in points.view(np.int64)], "bits long")
+    dealt, deal = [], type(prints).mapInArrow
+    monkeypatch.setattr(type(prints), "mapInArrow", lambda *given: dealt.append(deal(*given)) or dealt[-1])
+    place = {int(p): i for i, p in enumerate(points.view(np.int64))}
+    edges = [(place[r.u], place[r.v]) for r in simhash.links(prints, per_shard=8).collect()]
+    assert dealt[0].count() == 4 * len(points) and dealt[0].select("shard").distinct().count() > 400
+    label = list(range(len(points)))
+    while any(label[u] != label[v] for u, v in edges):
+        for u, v in edges:
+            label[u] = label[v] = min(label[u], label[v])
+    assert label == helpers.components(len(points), lambda a, b: np.bitwise_count(points[a:b, None] ^ points[None, :]) <= 3).tolist()
+
+
 @pytest.mark.parametrize("limits", [{}, {"group_rows": 2, "shard_rows": 20}])
 def test_exact_removal(spark, odd, limits, monkeypatch):
     whole = exact.spans
