@@ -87,6 +87,7 @@ def ratios(counts: DataFrame) -> DataFrame:
         level = cut(level.groupBy(shorter).agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")))
         levels.append(level)
     uniform = 1.0 / max(1, level.count())
+    # Tables of grams grow with the corpus and take many times their files' bytes in memory, so none is broadcast.
     below = None
     for order, level in enumerate(reversed(levels)):
         level = level.withColumn("context", F.substring("gram", 1, order))
@@ -94,11 +95,11 @@ def ratios(counts: DataFrame) -> DataFrame:
             *[F.sum(c).alias(f"all_{c}") for c in ("yes", "no")],
             *[F.sum((F.col(c) > 0).cast("long")).alias(f"kinds_{c}") for c in ("yes", "no")],
         )
-        rows = level.join(seen, "context")
+        rows = level.join(seen.hint("merge"), "context")
         if below is None:
             rows = rows.withColumns({"below_yes": F.lit(uniform), "below_no": F.lit(uniform)})
         else:
-            rows = rows.withColumn("shorter", F.substring("gram", 2, order)).join(below, "shorter")
+            rows = rows.withColumn("shorter", F.substring("gram", 2, order)).join(below.hint("merge"), "shorter")
         made = {}
         for c in ("yes", "no"):
             total = F.col(f"all_{c}") + F.col(f"kinds_{c}")
@@ -159,7 +160,8 @@ def judge(pages: DataFrame, rules: Sequence[Rule] = RULES, key: str = "page_id",
     pieces = cut(pieces.withColumn("id", F.monotonically_increasing_id()))
     counts = cut(_grams(pieces, "yes", "no").groupBy("gram").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")))
     ratio = cut(ratios(counts))
-    sums = _grams(pieces, "id").join(ratio, "gram").groupBy("id").agg(F.sum("ratio").alias("sum"))
+    # Spark takes the grams for as small as the pieces they come from, and would broadcast them.
+    sums = _grams(pieces, "id").join(ratio.hint("merge"), "gram").groupBy("id").agg(F.sum("ratio").alias("sum"))
     sums = cut(pieces.select("id", "piece").join(sums, "id", "left").select("piece", F.coalesce("sum", F.lit(0.0)).alias("sum")))
     for piece in ("head", "rest"):
         urls = urls.join(sums.select(F.col("piece").alias(piece), F.col("sum").alias(f"sum_{piece}")), piece)
